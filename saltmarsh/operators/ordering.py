@@ -15,17 +15,17 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 
-PART, POS = "_part", "_pos"
+PART, POS = "__part", "__pos"
 _POS_BITS = 33  # monotonically_increasing_id: partition number above, row offset below
 
 
 def lay_out(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    """``df`` sorted by ``order``, stored, with columns ``_part`` and ``_pos``."""
-    stored = durable(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
+    """``df`` sorted by ``order``, stored, with columns ``__part`` and ``__pos``."""
+    stored = durable(df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()))
     return (
-        stored.withColumn(PART, F.shiftright("_mid", _POS_BITS))
-        .withColumn(POS, F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-        .drop("_mid")
+        stored.withColumn(PART, F.shiftright("__mid", _POS_BITS))
+        .withColumn(POS, F.col("__mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
+        .drop("__mid")
     )
 
 
@@ -38,8 +38,8 @@ def _carry(parts: DataFrame, column: Column, name: str, following: bool = False)
 def with_index(laid: DataFrame, name: str = "idx") -> DataFrame:
     """0-based position of each row in the global order of a laid-out table."""
     parts = laid.groupBy(PART).agg(F.count("*").alias("_n"))
-    parts = _carry(parts, F.sum("_n"), "_before").select(PART, F.coalesce("_before", F.lit(0)).alias("_before"))
-    return laid.join(F.broadcast(parts), PART).withColumn(name, F.col("_before") + F.col(POS)).drop("_before")
+    parts = _carry(parts, F.sum("_n"), "__before").select(PART, F.coalesce("__before", F.lit(0)).alias("__before"))
+    return laid.join(F.broadcast(parts), PART).withColumn(name, F.col("__before") + F.col(POS)).drop("__before")
 
 
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
@@ -51,9 +51,9 @@ def group_row_index(
     df: DataFrame, by: Sequence[str], order: Sequence[Column | str], name: str = "idx"
 ) -> DataFrame:
     """0-based position inside each group; a hot group is spread over many sort partitions."""
-    indexed = with_index(lay_out(df, [*by, *order]), "_i").drop(PART, POS)
-    starts = indexed.groupBy(*by).agg(F.min("_i").alias("_start"))
-    return indexed.join(starts, list(by)).withColumn(name, F.col("_i") - F.col("_start")).drop("_i", "_start")
+    indexed = with_index(lay_out(df, [*by, *order]), "__i").drop(PART, POS)
+    starts = indexed.groupBy(*by).agg(F.min("__i").alias("__start"))
+    return indexed.join(starts, list(by)).withColumn(name, F.col("__i") - F.col("__start")).drop("__i", "__start")
 
 
 def running_total(
@@ -64,17 +64,17 @@ def running_total(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Inclusive running sum of a non-negative ``value`` in ``order``, per group if ``by``."""
-    laid = lay_out(df.withColumn("_v", F.col(value) if isinstance(value, str) else value), [*by, *order])
-    parts = laid.groupBy(PART).agg(F.sum("_v").alias("_s"))
-    parts = _carry(parts, F.sum("_s"), "_before").select(PART, "_before")
+    laid = lay_out(df.withColumn("__v", F.col(value) if isinstance(value, str) else value), [*by, *order])
+    parts = laid.groupBy(PART).agg(F.sum("__v").alias("__s"))
+    parts = _carry(parts, F.sum("__s"), "__before").select(PART, "__before")
     inside = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     out = laid.join(F.broadcast(parts), PART).withColumn(
-        name, F.sum("_v").over(inside) + F.coalesce("_before", F.lit(0))
+        name, F.sum("__v").over(inside) + F.coalesce("__before", F.lit(0))
     )
     if by:
-        starts = out.groupBy(*by).agg(F.min(F.col(name) - F.col("_v")).alias("_start"))
-        out = out.join(starts, list(by)).withColumn(name, F.col(name) - F.col("_start")).drop("_start")
-    return out.drop(PART, POS, "_before", "_v")
+        starts = out.groupBy(*by).agg(F.min(F.col(name) - F.col("__v")).alias("__start"))
+        out = out.join(starts, list(by)).withColumn(name, F.col(name) - F.col("__start")).drop("__start")
+    return out.drop(PART, POS, "__before", "__v")
 
 
 def previous_value(
@@ -86,16 +86,16 @@ def previous_value(
     name: str,
 ) -> DataFrame:
     """Value of ``column`` in the preceding row of the same group, ``default`` at the start."""
-    laid = lay_out(df, [*by, *order]).withColumn("_row", F.struct(*by, column))
-    parts = laid.groupBy(PART).agg(F.max_by("_row", POS).alias("_last"))
-    parts = parts.withColumn("_before", F.lag("_last").over(Window.orderBy(PART))).select(PART, "_before")
-    prev = F.coalesce(F.lag("_row").over(Window.partitionBy(PART).orderBy(POS)), F.col("_before"))
-    out = laid.join(F.broadcast(parts), PART).withColumn("_prev", prev)
+    laid = lay_out(df, [*by, *order]).withColumn("__row", F.struct(*by, column))
+    parts = laid.groupBy(PART).agg(F.max_by("__row", POS).alias("__last"))
+    parts = parts.withColumn("__before", F.lag("__last").over(Window.orderBy(PART))).select(PART, "__before")
+    prev = F.coalesce(F.lag("__row").over(Window.partitionBy(PART).orderBy(POS)), F.col("__before"))
+    out = laid.join(F.broadcast(parts), PART).withColumn("__prev", prev)
     same = F.lit(True)
     for key in by:
-        same = same & F.col(f"_prev.{key}").eqNullSafe(F.col(key))
-    return out.withColumn(name, F.when(F.col("_prev").isNotNull() & same, F.col(f"_prev.{column}"))
-                          .otherwise(F.lit(default))).drop(PART, POS, "_row", "_prev", "_before")
+        same = same & F.col(f"__prev.{key}").eqNullSafe(F.col(key))
+    return out.withColumn(name, F.when(F.col("__prev").isNotNull() & same, F.col(f"__prev.{column}"))
+                          .otherwise(F.lit(default))).drop(PART, POS, "__row", "__prev", "__before")
 
 
 def nearest_mark(df: DataFrame, value: str, marks: DataFrame, mark: str, name: str) -> DataFrame:
@@ -104,9 +104,9 @@ def nearest_mark(df: DataFrame, value: str, marks: DataFrame, mark: str, name: s
     Both sides are merged into one sorted run, so neither has to fit in memory.
     """
     rows = df.select(F.col(value).alias("_x"), F.lit(None).cast(marks.schema[mark].dataType).alias("_m"),
-                     F.struct(*df.columns).alias("_row"))
+                     F.struct(*df.columns).alias("__row"))
     bounds = marks.select(F.col(mark).alias("_x"), F.col(mark).alias("_m"),
-                          F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+                          F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"))
     laid = lay_out(rows.unionByName(bounds), ["_x", F.col("_m").asc_nulls_last()])
     parts = laid.groupBy(PART).agg(F.max("_m").alias("_hi"), F.min("_m").alias("_lo"))
     parts = _carry(parts, F.max("_hi"), "_left")
@@ -115,8 +115,8 @@ def nearest_mark(df: DataFrame, value: str, marks: DataFrame, mark: str, name: s
     left = F.max("_m").over(w.rowsBetween(Window.unboundedPreceding, 0))
     right = F.min("_m").over(w.rowsBetween(0, Window.unboundedFollowing))
     out = laid.join(F.broadcast(parts), PART).select(
-        "_row", "_x", F.coalesce(left, "_left").alias("_l"), F.coalesce(right, "_right").alias("_r")
-    ).where(F.col("_row").isNotNull())
+        "__row", "_x", F.coalesce(left, "_left").alias("_l"), F.coalesce(right, "_right").alias("_r")
+    ).where(F.col("__row").isNotNull())
     closer_right = F.col("_l").isNull() | ((F.col("_r") - F.col("_x")) < (F.col("_x") - F.col("_l")))
-    return out.select("_row.*", F.when(F.col("_r").isNotNull() & closer_right, F.col("_r"))
+    return out.select("__row.*", F.when(F.col("_r").isNotNull() & closer_right, F.col("_r"))
                       .otherwise(F.col("_l")).alias(name))

@@ -279,12 +279,12 @@ def rolled_customers(spark, sf):
 
 def tidy_rolled(df):
     for c in ("months_active", "price_per_month", "quantity_per_month"):
-        df = df.withColumn(c, tidy(c, 6))
+        df = df.withColumn(c, tidy(c, 8))
     return df
 
 
-ROLLED = f"""o_custkey, has_ever_cancelled, bought_top_product, had_return, {rnd('months_active')} AS months_active,
-{rnd('price_per_month')} AS price_per_month, {rnd('quantity_per_month')} AS quantity_per_month"""
+ROLLED = f"""o_custkey, has_ever_cancelled, bought_top_product, had_return, {rnd('months_active', 8)} AS months_active,
+{rnd('price_per_month', 8)} AS price_per_month, {rnd('quantity_per_month', 8)} AS quantity_per_month"""
 
 
 @query("customer_rollup", ROLLUP_SQL + f" SELECT {ROLLED} FROM rolled")
