@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 
 def tidy(column: Column | str, digits: int) -> Column:
-    """Rounded double without a negative zero, for stable comparison."""
+    """Half-up rounded double without a negative zero; plain double arithmetic, so other engines
+    that do the same steps get the same bits."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.round(c.cast("double"), digits) + F.lit(0.0)
+    scale = 10.0**digits
+    return F.floor(c.cast("double") * scale + 0.5) / scale
 
 
 def cut_fixed(x: Column, edges: Sequence[float], labels: Sequence) -> Column:
@@ -41,7 +43,7 @@ def powers(name: str, degree: int) -> list[Column]:
 
 
 def boxcox(x: Column, lam: Column) -> Column:
-    return F.when(lam == 0, F.log(x)).otherwise((F.pow(x, lam) - 1) / lam)
+    return F.when(lam == 0, F.log(x)).otherwise((F.exp(lam * F.log(x)) - 1) / lam)
 
 
 def boxcox_inverse(y: Column, lam: Column) -> Column:

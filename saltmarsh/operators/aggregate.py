@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import months_between_instants
-from .stats import one_row, quantile_values, quantiles
+from ..session import durable
+from .stats import one_row, quantile_table, quantiles
 
 
 def value_counts(df: DataFrame, *by: str) -> DataFrame:
@@ -132,22 +133,22 @@ def customer_rollup(
     decimals with ``digits`` places, so a sum does not depend on the order of the rows and may be
     compared with its own quartiles.
     """
-    exact = lambda c: F.col(c).cast(f"decimal(18,{digits})")
-    last = lines.agg(F.max(when).alias("m")).scalar()
-    kept = lines if generic_product is None else lines.where(~F.coalesce(generic_product, F.lit(False)))
-    bad = F.coalesce(cancelled, F.lit(False))
-    bits = {n: F.max(F.when(~bad & c, 1).otherwise(0)).alias(n) for n, c in (presence or {}).items()}
-    rolled = kept.where(F.col(customer).isNotNull()).groupBy(customer).agg(
-        F.max(bad.cast("int")).alias("has_ever_cancelled"),
-        F.max(F.coalesce(top_product, F.lit(False)).cast("int")).alias("bought_top_product"),
-        F.sum((~bad).cast("long")).alias("_lines"),
-        F.min(F.when(~bad, F.col(when))).alias("_first"),
-        F.sum(F.when(~bad, exact(amount))).cast("double").alias("_amount"),
-        F.sum(F.when(~bad, exact(quantity))).cast("double").alias("_quantity"),
-        *bits.values(),
-    ).where("_lines > 0")
-    months = months_between_instants(F.col("_first"), last)
-    return rolled.withColumn("months_active", months).select(
+    no = F.lit(False)
+    bad = F.coalesce(cancelled, no)
+    known = ~F.coalesce(generic_product, no) if generic_product is not None else F.lit(True)
+    good = known & ~bad
+    exact = lambda c: F.sum(F.when(good, F.col(c).cast(f"decimal(18,{digits})"))).cast("double")
+    bits = {n: F.max(F.when(good & c, 1).otherwise(0)).alias(n) for n, c in (presence or {}).items()}
+    # stored, because the last date of the input is a second look at it
+    rolled = durable(lines.groupBy(customer).agg(
+        F.max(when).alias("_last"), F.count_if(good).alias("_lines"), F.min(F.when(good, F.col(when))).alias("_first"),
+        F.max((known & bad).cast("int")).alias("has_ever_cancelled"),
+        F.max((known & F.coalesce(top_product, no)).cast("int")).alias("bought_top_product"),
+        exact(amount).alias("_amount"), exact(quantity).alias("_quantity"), *bits.values()))
+    last = rolled.agg(F.max("_last").alias("m")).scalar()
+    out = rolled.where(F.col(customer).isNotNull() & (F.col("_lines") > 0)).withColumn(
+        "months_active", months_between_instants(F.col("_first"), last))
+    return out.select(
         customer, "has_ever_cancelled", "bought_top_product", "months_active",
         (F.col("_amount") / F.col("months_active")).alias("price_per_month"),
         (F.col("_quantity") / F.col("months_active")).alias("quantity_per_month"), *bits)
@@ -158,9 +159,9 @@ def quartile_code(x: Column, q: Sequence[Column], codes: Sequence[int]) -> Colum
 
 
 def rfm_score(rolled: DataFrame) -> DataFrame:
-    """Adds r/f/m quartile codes and their sum; low is good. One pass per column for the quartiles."""
-    probs = [0.25, 0.5, 0.75]
-    q = {c: quantile_values(rolled, c, probs) for c in ("months_active", "quantity_per_month", "price_per_month")}
+    """Adds r/f/m quartile codes and their sum; low is good. ``rolled`` is read twice, so it should be
+    cheap to read, as the stored result of ``customer_rollup`` is."""
+    q = quantile_table(rolled, ["months_active", "quantity_per_month", "price_per_month"], [0.25, 0.5, 0.75])
     out = (rolled
            .withColumn("r", quartile_code(F.col("months_active"), q["months_active"], (1, 2, 3, 4)))
            .withColumn("f", quartile_code(F.col("quantity_per_month"), q["quantity_per_month"], (4, 3, 2, 1)))

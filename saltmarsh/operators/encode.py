@@ -37,14 +37,27 @@ def document_terms(df: DataFrame, key: str, words: Column) -> DataFrame:
 
 def bag_of_words(df: DataFrame, key: str, words: Column, min_df: float = 0.0, max_features: int | None = None) -> DataFrame:
     """Term counts of words found in at least ``min_df`` (share) of the documents; optionally only
-    the ``max_features`` most frequent ones."""
-    terms = document_terms(df, key, words)
+    the ``max_features`` most frequent ones.
+
+    The vocabulary comes first, from counts combined before the shuffle; the per-document counts
+    then move its words only.
+    """
     n_docs = df.agg(F.count("*").alias("n")).scalar()
-    vocab = terms.groupBy("word").agg(F.count("*").alias("df"), F.sum("n").alias("total")).where(
-        F.col("df") >= n_docs * F.lit(float(min_df)))
+    if min_df > 0:
+        seen = df.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+        vocab = seen.where(F.col("df") >= n_docs * F.lit(float(min_df))).select("word")
+    else:
+        vocab = None
     if max_features:
-        vocab = vocab.orderBy(F.desc("total"), F.asc("word")).limit(max_features)
-    return terms.join(vocab.select("word"), "word", "left_semi").select(key, "word", "n")
+        total = df.select(F.explode(words).alias("word"))
+        if vocab is not None:
+            total = total.join(vocab, "word", "left_semi")
+        total = total.groupBy("word").agg(F.count("*").alias("total"))
+        vocab = total.orderBy(F.desc("total"), F.asc("word")).limit(max_features).select("word")
+    rows = df.select(key, F.explode(words).alias("word"))
+    if vocab is not None:
+        rows = rows.join(vocab, "word", "left_semi")
+    return rows.groupBy(key, "word").agg(F.count("*").alias("n"))
 
 
 def frequent_categories(df: DataFrame, column: str, percent: float) -> DataFrame:

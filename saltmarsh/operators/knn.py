@@ -36,8 +36,11 @@ def as_vector(column: Column) -> Column:
 
 def unit_vector(column: Column) -> Column:
     """Scaled to length 1; Euclidean order on unit vectors is cosine order."""
-    norm = F.sqrt(F.aggregate(column, F.lit(0.0), lambda a, v: a + v * v))
-    return F.transform(column, lambda v: v / F.when(norm == 0, 1.0).otherwise(norm))
+    def scaled(squares):  # the finish step sees the norm once per row, not once per element
+        norm = F.when(squares == 0, F.lit(1.0)).otherwise(F.sqrt(squares))
+        return F.transform(column, lambda v: v / norm)
+    return F.aggregate(F.transform(column, lambda v: F.struct(v.alias("v"))), F.lit(0.0),
+                       lambda a, s: a + s["v"] * s["v"], scaled)
 
 
 def _distances(data: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes,
                                        RandomForestClassifier)
@@ -77,8 +78,9 @@ def lda_topics(df: DataFrame, words: str, topics: int, vocabulary: int, max_iter
 
 
 def doc_vectors(df: DataFrame, words: str, stop_words: Sequence[str], size: int = 32, max_iter: int = 1,
-                min_count: int = 5, partitions: int = 1) -> DataFrame:
-    """Mean word vectors per document, stop words removed."""
+                min_count: int = 5, partitions: int | None = None) -> DataFrame:
+    """Mean word vectors per document, stop words removed. Trains on as many partitions as there are slots."""
+    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
     clean = StopWordsRemover(inputCol=words, outputCol="_clean", stopWords=list(stop_words)).transform(df)
     model = Word2Vec(vectorSize=size, minCount=min_count, maxIter=max_iter, seed=SEED, numPartitions=partitions,
                      inputCol="_clean", outputCol="vector").fit(clean)
@@ -181,25 +183,48 @@ def multilabel_bayes(df: DataFrame, features: str, labels: Sequence[str], key: s
 
 
 def impute_chained(df: DataFrame, columns: Sequence[str], rounds: int = 10) -> DataFrame:
-    """Fill nulls by repeated linear regression of each column on the others, starting from the means."""
-    from .stats import one_row
-    means = one_row(df, **{c: F.avg(c) for c in columns})
-    data = df.select("*", *[F.col(c).isNull().alias(f"_null_{c}") for c in columns])
-    for c in columns:
-        data = data.withColumn(c, F.coalesce(F.col(c).cast("double"), means[c]))
-    data = durable(data)
-    holes = data.agg(*[F.max(f"_null_{c}").alias(c) for c in columns]).first()
-    targets = [c for c in columns if holes[c]]
+    """Fill nulls by repeated least-squares regression of each column on the others, from the means.
+
+    In a row with a given set of nulls every filled value stays an affine function of the row's own
+    observed values, so all rounds need only the product sums per null pattern. Spark computes
+    those in one pass; the rounds then run on matrices of the size of the column list, and the
+    fills are one projection. Patterns: at most 2**columns, each a handful of numbers.
+    """
+    p = len(columns)
+    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    mean = [float(stats[f"m{i}"] or 0.0) for i in range(p)]
+    width = [float(stats[f"s{i}"] or 1.0) or 1.0 for i in range(p)]
+    z = [F.lit(1.0)] + [F.coalesce((F.col(c) - mean[i]) / width[i], F.lit(0.0)) for i, c in enumerate(columns)]
+    pattern = sum((F.col(c).isNull().cast("long") * (1 << i) for i, c in enumerate(columns)), F.lit(0))
+    sums = df.groupBy(pattern.alias("pattern")).agg(*[
+        F.sum(z[a] * z[b]).alias(f"g{a}_{b}") for a in range(p + 1) for b in range(a, p + 1)]).collect()
+    gram, fill = {}, {}
+    for row in sums:
+        s = int(row["pattern"])
+        gram[s] = np.array([[row[f"g{min(a, b)}_{max(a, b)}"] for b in range(p + 1)] for a in range(p + 1)])
+        fill[s] = np.eye(p + 1)
+        for i in range(p):
+            if s >> i & 1:
+                fill[s][i + 1] = 0.0  # the mean, in standardised units
     for _ in range(rounds):
-        for c in targets:
-            others = [o for o in columns if o != c]
-            model = LinearRegression(labelCol=c, solver="normal").fit(assemble(data.where(~F.col(f"_null_{c}")), others))
-            guess = F.lit(float(model.intercept))
-            for o, w in zip(others, model.coefficients):
-                guess = guess + F.col(o) * F.lit(float(w))
-            data = data.withColumn(c, F.when(F.col(f"_null_{c}"), guess).otherwise(F.col(c)))
-        data = durable(data)
-    return data.select(*df.columns)
+        for i in range(p):
+            holes = [s for s in fill if s >> i & 1]
+            others = [a for a in range(p + 1) if a != i + 1]
+            known = sum((fill[s] @ gram[s] @ fill[s].T for s in fill if not s >> i & 1), np.zeros((p + 1, p + 1)))
+            if holes:
+                w = np.linalg.lstsq(known[np.ix_(others, others)], known[others, i + 1], rcond=None)[0]
+                for s in holes:
+                    fill[s][i + 1] = w @ fill[s][others]
+    out = {}
+    for i, c in enumerate(columns):
+        value = F.col(c).cast("double")
+        for s in (s for s in fill if s >> i & 1):
+            guess = sum((z[a] * float(fill[s][i + 1][a]) for a in range(1, p + 1) if not s >> (a - 1) & 1),
+                        F.lit(float(fill[s][i + 1][0])))
+            value = F.when(pattern == s, guess * width[i] + mean[i]).otherwise(value)
+        out[c] = value
+    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])
 
 
 def grid_search(df: DataFrame, columns: Sequence[str], y: str, regs: Sequence[float], mixes: Sequence[float],

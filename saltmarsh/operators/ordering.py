@@ -111,9 +111,11 @@ def nearest_mark(df: DataFrame, value: str, marks: DataFrame, mark: str, name: s
     parts = laid.groupBy(PART).agg(F.max("_m").alias("_hi"), F.min("_m").alias("_lo"))
     parts = _carry(parts, F.max("_hi"), "_left")
     parts = _carry(parts, F.min("_lo"), "_right", following=True).select(PART, "_left", "_right")
-    w = Window.partitionBy(PART).orderBy(POS)
-    left = F.max("_m").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    right = F.min("_m").over(w.rowsBetween(0, Window.unboundedFollowing))
+    # both frames grow from their start, one row at a time; a frame that shrinks to its end would
+    # be evaluated anew for every row
+    upward = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    downward = Window.partitionBy(PART).orderBy(F.desc(POS)).rowsBetween(Window.unboundedPreceding, 0)
+    left, right = F.max("_m").over(upward), F.min("_m").over(downward)
     out = laid.join(F.broadcast(parts), PART).select(
         "__row", "_x", F.coalesce(left, "_left").alias("_l"), F.coalesce(right, "_right").alias("_r")
     ).where(F.col("__row").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import boxcox
-from .stats import one_row, quantile_values
+from .stats import one_row, quantile_table
 
 
 def _replace(df: DataFrame, new: Mapping) -> DataFrame:
@@ -37,15 +37,16 @@ def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    m = {c: quantile_values(df, c, [0.5])[0] for c in columns}
-    return _replace(df, {c: F.coalesce(F.col(c).cast("double"), m[c]) for c in columns})
+    m = quantile_table(df, columns, [0.5])
+    return _replace(df, {c: F.coalesce(F.col(c).cast("double"), m[c][0]) for c in columns})
 
 
 def boxcox_lambda(df: DataFrame, column: str, grid: Sequence[float]) -> DataFrame:
     """Profile log-likelihood of every ``lambda`` of the grid over a positive column, in one pass."""
-    log_x = F.log(F.col(column))
-    var = {i: F.var_pop(boxcox(F.col(column), F.lit(float(v)))).alias(f"v{i}") for i, v in enumerate(grid)}
-    s = df.agg(F.count(column).alias("n"), F.sum(log_x).alias("sl"), *var.values())
+    log_x = F.col("_log")  # one logarithm per row; the powers follow by exp, which is much cheaper than pow
+    power = lambda v: (F.exp(F.lit(float(v)) * log_x) - 1) / F.lit(float(v)) if v else log_x
+    var = [F.var_pop(power(v)).alias(f"v{i}") for i, v in enumerate(grid)]
+    s = df.select(F.log(column).alias("_log")).agg(F.count(log_x).alias("n"), F.sum(log_x).alias("sl"), *var)
     return s.select(F.explode(F.array(*[
         F.struct(F.lit(float(v)).alias("lam"),
                  (-F.col("n") / 2.0 * F.log(F.col(f"v{i}")) + (v - 1) * F.col("sl")).alias("llf"))

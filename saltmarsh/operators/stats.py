@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -12,8 +13,9 @@ from ..session import estimated_bytes
 from .ordering import running_total
 
 # Spark's ``percentile`` keeps all distinct values of a group in one buffer. Above this
-# estimated input size the quantiles come from a distributed cumulative count instead.
-PERCENTILE_BUFFER_BYTES = 64 << 20
+# estimated input size exact quantiles are found by other means.
+PERCENTILE_BUFFER_BYTES = 16 << 20
+SKETCH_ACCURACY = 10_000  # rank error of ``percentile_approx``: at most n / accuracy
 
 
 def one_row(df: DataFrame, **named: Column) -> dict[str, Column]:
@@ -22,33 +24,90 @@ def one_row(df: DataFrame, **named: Column) -> dict[str, Column]:
     return {n: row[n] for n in named}
 
 
+def _picks(cum: DataFrame, by: Sequence[str], wanted: Column) -> DataFrame:
+    """Interpolated values at the positions ``wanted`` (an array of 0-based ranks with fraction)
+    from distinct values ``_x`` that hold the ranks ``_lo .. _hi - 1``."""
+    hits = F.filter(F.transform(wanted, lambda at, i: F.struct(
+        i.alias("i"), (at - F.floor(at)).alias("f"),
+        ((F.col("_lo") <= F.floor(at)) & (F.floor(at) < F.col("_hi"))).alias("low"),
+        ((F.col("_lo") <= F.ceil(at)) & (F.ceil(at) < F.col("_hi"))).alias("high"))), lambda h: h["low"] | h["high"])
+    found = cum.select(*by, "_x", F.explode(hits).alias("h")).groupBy(*by, "h.i").agg(
+        F.max(F.when(F.col("h.low"), F.col("_x"))).alias("a"), F.max(F.when(F.col("h.high"), F.col("_x"))).alias("b"),
+        F.max("h.f").alias("f"))
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") * (1 - F.col("f")) + F.col("b") * F.col("f"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", value.alias("q"))))  # one entry per requested quantile
+    return found.groupBy(*by).agg(F.transform(ordered, lambda s: s["q"]).alias("q"))
+
+
 def quantiles(
     df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = (), max_buffer: int | None = None
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``by`` columns plus an array ``q``."""
     limit = PERCENTILE_BUFFER_BYTES if max_buffer is None else max_buffer
     rows = df.select(*by, F.col(column).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    at = F.array(*[F.lit(float(p)) for p in probs])
     if estimated_bytes(rows) <= limit:
-        return rows.groupBy(*by).agg(F.percentile("_x", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+        return rows.groupBy(*by).agg(F.percentile("_x", at).alias("q"))
+    if not by:
+        return _bracketed(df, {column: list(probs)}).select(F.col(column).alias("q"))
     counts = rows.groupBy(*by, "_x").agg(F.count("*").alias("_n"))
     cum = running_total(counts, ["_x"], "_n", "_hi", by=by).withColumn("_lo", F.col("_hi") - F.col("_n"))
     totals = cum.groupBy(*by).agg(F.sum("_n").alias("_t"))
-    cum = cum.join(totals, list(by)) if by else cum.withColumn("_t", totals.select("_t").scalar())
-    picks = []
-    for p in probs:
-        at = (F.col("_t") - 1) * F.lit(float(p))
-        low, high = F.floor(at), F.ceil(at)
-        hit = lambda k: F.max(F.when((F.col("_lo") <= k) & (k < F.col("_hi")), F.col("_x")))
-        picks.append(F.struct(hit(low).alias("a"), hit(high).alias("b"), F.max(at - low).alias("f")))
-    lerp = F.transform(F.array(*picks), lambda s: F.when(s["a"] == s["b"], s["a"])
-                       .otherwise(s["a"] * (1 - s["f"]) + s["b"] * s["f"]))
-    return cum.groupBy(*by).agg(lerp.alias("q"))
+    cum = cum.join(totals, list(by))
+    return _picks(cum, by, F.transform(at, lambda p: (F.col("_t") - 1) * p))
+
+
+def _bracketed(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
+    """Exact quantiles of large columns without sorting them: one row, one array per column.
+
+    A sketch gives, for each quantile, two values that enclose it and only a few rows in ten
+    thousand. Exact counts below them turn the quantile into a rank among the enclosed values, and
+    only those are grouped and sorted. Should a sketch ever miss, the whole column is ranked.
+    """
+    eps, flat = 2.0 / SKETCH_ACCURACY, [(c, p) for c, ps in wanted.items() for p in ps]
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
+    sketch = data.agg(*[F.count(c).alias(f"n_{c}") for c in wanted], *[
+        F.percentile_approx(c, [max(0.0, min(1.0, p + e)) for p in ps for e in (-eps, eps)], SKETCH_ACCURACY).alias(c)
+        for c, ps in wanted.items()]).first()
+    bounds = [(c, p, sketch[c][2 * wanted[c].index(p)], sketch[c][2 * wanted[c].index(p) + 1])
+              for c, p in flat] if all(sketch[c] for c in wanted) else []
+    if not bounds:
+        return df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in ps])).alias(c) for c, ps in wanted.items()])
+    counts = data.agg(*[x for i, (c, _, lo, hi) in enumerate(bounds) for x in (
+        F.count_if(F.col(c) < lo).alias(f"b{i}"), F.count_if(F.col(c) <= hi).alias(f"u{i}"))]).first()
+    rank = [(sketch[f"n_{c}"] - 1) * p for c, p, _, _ in bounds]
+    safe = all(counts[f"b{i}"] <= math.floor(r) and counts[f"u{i}"] > math.ceil(r) for i, r in enumerate(rank))
+    if not safe:
+        bounds = [(c, p, -math.inf, math.inf) for c, p, _, _ in bounds]
+    below = [counts[f"b{i}"] if safe else 0 for i in range(len(bounds))]
+    inside = F.array_compact(F.array(*[
+        F.when(F.col(c).between(lo, hi), F.struct(F.lit(i).alias("b"), F.col(c).alias("x")))
+        for i, (c, _, lo, hi) in enumerate(bounds)]))
+    held = data.select(F.explode(inside).alias("h")).groupBy(F.col("h.b").alias("_b"), F.col("h.x").alias("_x")).agg(
+        F.count("*").alias("_n"))
+    cum = running_total(held, ["_x"], "_n", "_hi", by=["_b"]).withColumn("_lo", F.col("_hi") - F.col("_n"))
+    targets = F.array(*[F.lit(float(r - b)) for r, b in zip(rank, below)])
+    found = _picks(cum, ["_b"], F.array(F.get(targets, F.col("_b"))))
+    return found.agg(*[F.array(*[F.max(F.when(F.col("_b") == flat.index((c, p)), F.get("q", F.lit(0)))) for p in ps]).alias(c)
+                       for c, ps in wanted.items()])
 
 
 def quantile_values(df: DataFrame, column: str, probs: Sequence[float], max_buffer: int | None = None) -> list[Column]:
     """Quantiles of the whole table as scalar-subquery columns."""
-    q = quantiles(df, column, probs, max_buffer=max_buffer).select("q").scalar()
-    return [q[i] for i in range(len(probs))]
+    return quantile_table(df, [column], probs, max_buffer)[column]
+
+
+def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                   max_buffer: int | None = None) -> dict[str, list[Column]]:
+    """Quantiles of several columns as scalar-subquery columns; the passes are shared by all columns."""
+    limit = PERCENTILE_BUFFER_BYTES if max_buffer is None else max_buffer
+    if estimated_bytes(df.select(*columns)) > limit:
+        found = _bracketed(df, {c: [float(p) for p in probs] for c in columns})
+    else:
+        at = F.array(*[F.lit(float(p)) for p in probs])
+        found = df.agg(*[F.percentile(F.col(c).cast("double"), at).alias(c) for c in columns])
+    row = found.select(F.struct(*columns).alias("s")).scalar()
+    return {c: [row[c][i] for i in range(len(probs))] for c in columns}
 
 
 def sample_skewness(column: Column | str) -> Column:
@@ -66,7 +125,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             sample_skewness(c).alias("skew"),
         ).alias(c) for c in columns
     ])
-    quarts = {c: quantile_values(df, c, [0.25, 0.5, 0.75]) for c in columns}
+    quarts = quantile_table(df, columns, [0.25, 0.5, 0.75])
     rows = one_pass.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"{c}.n").alias("n"), F.col(f"{c}.mean").alias("mean"),
                  F.col(f"{c}.std").alias("std"), F.col(f"{c}.min").alias("min"), quarts[c][0].alias("q1"),

@@ -297,14 +297,13 @@ def rfm_score(spark, sf):
     return tidy_rolled(agg.rfm_score(rolled_customers(spark, sf)))
 
 
-@query("customer_value_report", ROLLUP_SQL + f""", v AS (SELECT o_custkey, rfm_score, round(price_per_month, 4) + 0.0 AS price FROM scored),
+@query("customer_value_report", ROLLUP_SQL + f""", v AS (SELECT o_custkey, rfm_score, {rnd('price_per_month', 4)} AS price FROM scored),
 c AS (SELECT *, sum(price) OVER (ORDER BY price DESC, o_custkey) AS cum, sum(price) OVER () AS t FROM v)
 SELECT o_custkey, rfm_score, price, {rnd('cum / t', 5)} AS cum_share, CAST(cum < t * 0.8::DOUBLE AS INTEGER) AS in_core FROM c""")
 def customer_value_report(spark, sf):
     """RFM score of every customer with the cumulative share of monthly revenue."""
     from ..operators.windows import cumulative_share
-    from ..session import durable
-    scored = durable(agg.rfm_score(rolled_customers(spark, sf)).select("o_custkey", "rfm_score", tidy("price_per_month", 4).alias("price")))
+    scored = agg.rfm_score(rolled_customers(spark, sf)).select("o_custkey", "rfm_score", tidy("price_per_month", 4).alias("price"))
     share = cumulative_share(scored, "o_custkey", "price").drop("price", "cum")
     return scored.join(share, "o_custkey").select("o_custkey", "rfm_score", "price", tidy("cum_share", 5).alias("cum_share"), "in_core")
 

@@ -23,4 +23,5 @@ def query(name: str, sql: str | None = None):
 
 def rnd(expr: str, digits: int = 6) -> str:
     """SQL twin of ``functions.numbers.tidy``."""
-    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0"
+    scale = f"CAST(1e{digits} AS DOUBLE)"
+    return f"floor(CAST({expr} AS DOUBLE) * {scale} + 0.5) / {scale}"
