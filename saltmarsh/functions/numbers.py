@@ -42,6 +42,11 @@ def powers(name: str, degree: int) -> list[Column]:
     return [F.pow(F.col(name), n).alias(f"{name}_DEG{n}") for n in range(2, degree + 1)]
 
 
+def cross_terms(names: Sequence[str]) -> list[Column]:
+    """All products of two columns, squares included, as ``a_x_b``."""
+    return [(F.col(a) * F.col(b)).alias(f"{a}_x_{b}") for i, a in enumerate(names) for b in names[i:]]
+
+
 def boxcox(x: Column, lam: Column) -> Column:
     return F.when(lam == 0, F.log(x)).otherwise((F.exp(lam * F.log(x)) - 1) / lam)
 

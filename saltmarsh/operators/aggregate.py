@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import months_between_instants
 from ..session import durable
-from .stats import one_row, quantile_table, quantiles
+from .stats import PERCENTILE_BUFFER_BYTES, one_row, quantile_table, quantiles
 
 
 def value_counts(df: DataFrame, *by: str) -> DataFrame:
@@ -161,7 +161,10 @@ def quartile_code(x: Column, q: Sequence[Column], codes: Sequence[int]) -> Colum
 def rfm_score(rolled: DataFrame) -> DataFrame:
     """Adds r/f/m quartile codes and their sum; low is good. ``rolled`` is read twice, so it should be
     cheap to read, as the stored result of ``customer_rollup`` is."""
-    q = quantile_table(rolled, ["months_active", "quantity_per_month", "price_per_month"], [0.25, 0.5, 0.75])
+    columns = ["months_active", "quantity_per_month", "price_per_month"]
+    # the plan's estimate knows joins, not the stored rows, so the rows are counted
+    small = rolled.count() * 8 * len(columns) <= PERCENTILE_BUFFER_BYTES
+    q = quantile_table(rolled, columns, [0.25, 0.5, 0.75], max_buffer=None if not small else 1 << 62)
     out = (rolled
            .withColumn("r", quartile_code(F.col("months_active"), q["months_active"], (1, 2, 3, 4)))
            .withColumn("f", quartile_code(F.col("quantity_per_month"), q["quantity_per_month"], (4, 3, 2, 1)))

@@ -252,6 +252,44 @@ def codebook_histogram(df: DataFrame, centroids: DataFrame, *, key: str, item: s
     return near.join(df.select(key, item), key).groupBy(item, F.col("neighbor").alias(word)).agg(F.count("*").alias("n"))
 
 
+def silhouette_euclidean(df: DataFrame, key: str, vector: str, label: str, broadcast_bytes: int | None = None) -> DataFrame:
+    """Mean silhouette under plain Euclidean distance for tables small enough to broadcast.
+
+    This measure needs the distance of every pair, so it refuses tables beyond the size limit;
+    ``silhouette`` is the linear alternative there. Distances are summed per cluster inside the
+    task; no pair leaves it.
+    """
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("c"), as_vector(F.col(vector)).alias("vec"))
+    size = rows.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    if size["n"] * (size["dim"] or 1) * 8 > (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
+        raise ValueError("too many rows for all pair distances; use silhouette (squared Euclidean)")
+    table = rows.select("c", "vec").toArrow()
+    labels = table.column("c").to_numpy()
+    matrix = np.asarray(table.column("vec").combine_chunks().flatten()).reshape(len(labels), -1)
+    shared = df.sparkSession.sparkContext.broadcast((labels, matrix))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c, data = shared.value
+        names, code = np.unique(c, return_inverse=True)
+        sizes = np.bincount(code)
+        for pdf in batches:
+            out = []
+            for own, v in zip(pdf["c"], _matrix(pdf["vec"]) if len(pdf) else []):
+                sums = np.bincount(code, weights=_distances(data, v, "euclidean"), minlength=len(names))
+                k = int(np.searchsorted(names, own))
+                if len(names) < 2:
+                    out.append(-1.0)
+                elif sizes[k] < 2:
+                    out.append(0.0)
+                else:
+                    a, b = sums[k] / (sizes[k] - 1), min(sums[j] / sizes[j] for j in range(len(names)) if j != k)
+                    out.append((b - a) / max(a, b) if max(a, b) else 0.0)
+            yield pd.DataFrame({"s": np.array(out, dtype=float)})
+
+    return rows.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
+
+
 def silhouette(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """Mean silhouette under squared Euclidean distance, linear in the rows; -1 with fewer than two labels.
 

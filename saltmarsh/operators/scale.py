@@ -42,15 +42,16 @@ def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def boxcox_lambda(df: DataFrame, column: str, grid: Sequence[float]) -> DataFrame:
-    """Profile log-likelihood of every ``lambda`` of the grid over a positive column, in one pass."""
-    log_x = F.col("_log")  # one logarithm per row; the powers follow by exp, which is much cheaper than pow
-    power = lambda v: (F.exp(F.lit(float(v)) * log_x) - 1) / F.lit(float(v)) if v else log_x
-    var = [F.var_pop(power(v)).alias(f"v{i}") for i, v in enumerate(grid)]
-    s = df.select(F.log(column).alias("_log")).agg(F.count(log_x).alias("n"), F.sum(log_x).alias("sl"), *var)
-    return s.select(F.explode(F.array(*[
-        F.struct(F.lit(float(v)).alias("lam"),
-                 (-F.col("n") / 2.0 * F.log(F.col(f"v{i}")) + (v - 1) * F.col("sl")).alias("llf"))
-        for i, v in enumerate(grid)])).alias("r")).select("r.*")
+    """Profile log-likelihood of every ``lambda`` of the grid over a positive column, in one pass.
+
+    One logarithm per row; the powers follow by ``exp``, which is much cheaper than ``pow``. The
+    row is repeated per lambda inside its task and combined there: one row per lambda is shuffled.
+    """
+    logs = df.where(F.col(column).isNotNull()).select(F.log(column).alias("_log"))
+    each = logs.select("_log", F.explode(F.array(*[F.lit(float(v)) for v in grid])).alias("lam"))
+    y = F.when(F.col("lam") == 0, F.col("_log")).otherwise((F.exp(F.col("lam") * F.col("_log")) - 1) / F.col("lam"))
+    s = each.groupBy("lam").agg(F.count("*").alias("n"), F.var_pop(y).alias("v"), F.sum("_log").alias("sl"))
+    return s.select("lam", (-F.col("n") / 2.0 * F.log("v") + (F.col("lam") - 1) * F.col("sl")).alias("llf"))
 
 
 def boxcox_transform(df: DataFrame, column: str, grid: Sequence[float], name: str) -> DataFrame:

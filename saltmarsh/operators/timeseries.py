@@ -108,15 +108,15 @@ def macd(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
 # --- splits --------------------------------------------------------------------------------
 
 def _group_table(df: DataFrame, group: str) -> DataFrame:
-    """Distinct groups with their 0-based position ``g`` and the number of groups ``n``."""
+    """Distinct groups with their 0-based position ``__g`` and the number of groups ``__n``."""
     groups = df.select(group).distinct()
     total = groups.agg(F.count("*").alias("n")).scalar()
-    return row_index(groups, [group], "g").withColumn("n", total.cast("long"))
+    return row_index(groups, [group], "__g").withColumn("__n", total.cast("long"))
 
 
 def _roles(groups: DataFrame, group: str, n_folds: int, ranges) -> DataFrame:
     """One row per (group, fold, role) from ``ranges(fold) -> [(role, start, end)]`` on group positions."""
-    g = F.col("g")
+    g = F.col("__g")
     hits = [F.when((g >= lo) & (g < hi), F.struct(F.lit(f).alias("fold"), F.lit(role).alias("role")))
             for f in range(n_folds) for role, lo, hi in ranges(f)]
     return groups.select(group, F.explode(F.array_compact(F.array(*hits))).alias("h")).select(
@@ -143,7 +143,7 @@ def purged_group_split(
     """Rows with ``fold`` and ``role``: test blocks of consecutive groups, a training block that ends
     ``group_gap`` groups before, and the first ``drop_head_rows`` rows of each test block left out."""
     groups = _group_table(df, group)
-    n = F.col("n")
+    n = F.col("__n")
     size = F.least(F.floor(n / (n_splits + 1)), F.lit(max_test_groups)) if max_test_groups else F.floor(n / (n_splits + 1))
 
     def ranges(f):
@@ -161,7 +161,7 @@ def purged_stacking_split(
 ) -> DataFrame:
     """Three blocks per fold (train, val, test) with a gap before the second and the third."""
     groups = _group_table(df, group)
-    n = F.col("n")
+    n = F.col("__n")
     size = F.least(F.floor(n / (n_splits + 1)), F.lit(max_test_groups))
 
     def ranges(f):

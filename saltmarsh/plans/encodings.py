@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.numbers import tidy
 from ..operators import encode, scale
-from ..sources import table
+from ..sources import table, use_all_slots
 from .registry import query, rnd
 from .scalars import WORDS_SQL
 
@@ -24,7 +24,7 @@ VOCABULARY = ["the", "der", "que", "les", "license"]  # fixed values
 @query("multi_hot", "SELECT doc_id, " + ", ".join(f"CAST(list_contains(w, '{v}') AS INTEGER) AS has_{v}" for v in VOCABULARY)
        + f" FROM (SELECT doc_id, {WORDS_SQL} AS w FROM documents)")
 def multi_hot(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", text.words(F.col("text")).alias("w"))
+    docs = use_all_slots(table(spark, sf, "documents")).select("doc_id", text.words(F.col("text")).alias("w"))
     return encode.multi_hot(docs, F.col("w"), VOCABULARY, "has").drop("w")
 
 
@@ -46,7 +46,7 @@ v AS (SELECT word FROM t GROUP BY 1 HAVING count(*) >= (SELECT count(*) FROM doc
 SELECT doc_id, word, n FROM t WHERE word IN (SELECT word FROM v)""")
 def bag_of_words(spark, sf):
     words = text.words(F.col("text"), r"[\p{L}\p{N}_]{2,}")
-    return encode.bag_of_words(table(spark, sf, "documents"), "doc_id", words, min_df=0.05).select("doc_id", "word", "n")
+    return encode.bag_of_words(use_all_slots(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", words, min_df=0.05).select("doc_id", "word", "n")
 
 
 @query("bag_of_words_presence", r"""
@@ -55,7 +55,7 @@ v AS (SELECT word FROM t GROUP BY 1 ORDER BY sum(n) DESC, word LIMIT 200) SELECT
 def bag_of_words_presence(spark, sf):
     """Presence bits of the 200 most frequent space-separated words."""
     words = F.filter(F.split("text", " "), lambda w: w != "")
-    bag = encode.bag_of_words(table(spark, sf, "documents"), "doc_id", words, max_features=200)
+    bag = encode.bag_of_words(use_all_slots(table(spark, sf, "documents").select("doc_id", "text")), "doc_id", words, max_features=200)
     return bag.select("doc_id", "word", F.lit(1).alias("present"))
 
 

@@ -206,10 +206,10 @@ def stream_score(spark, sf):
     """The events arrive as files in time order; each record gets one action."""
     events = table(spark, sf, "events").select("event_id", "ts", "value")
     folder = scratch_path(spark, "event-stream")
-    events.repartitionByRange(4, "ts").sortWithinPartitions("ts", "event_id").write.parquet(folder)
+    events.orderBy("ts", "event_id").write.parquet(folder)
 
     def score(df):
         p = sigmoid(F.col("value") / 50 - 1)
         return df.select("event_id", tidy(p, 6).alias("p"), three_way(p, 0.7).alias("action"))
 
-    return score_stream(spark, folder, events.schema, score, max_files=2)
+    return score_stream(spark, folder, events.schema, score)

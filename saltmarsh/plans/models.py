@@ -6,7 +6,7 @@ from ..functions import text
 from ..functions.numbers import tidy
 from ..operators import encode, models, relational
 from ..operators import timeseries as ts
-from ..sources import table
+from ..sources import table, use_all_slots
 from .registry import query, rnd
 from .scalars import STOP_WORDS
 from .windows import stacking_split
@@ -52,7 +52,7 @@ def cluster_assign_profile(spark, sf):
 
 def doc_words(spark, sf):
     words = text.words(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.filter(words, lambda w: ~w.isin(STOP_WORDS)).alias("words"))
+    return use_all_slots(table(spark, sf, "documents")).select("doc_id", F.filter(words, lambda w: ~w.isin(STOP_WORDS)).alias("words"))
 
 
 @query("lda_topics")
@@ -62,7 +62,7 @@ def lda_topics(spark, sf):
 
 @query("doc_vectors")
 def doc_vectors(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", text.words(F.col("text")).alias("words"))
+    docs = use_all_slots(table(spark, sf, "documents")).select("doc_id", text.words(F.col("text")).alias("words"))
     return models.doc_vectors(docs, "words", STOP_WORDS, size=16).select("doc_id", F.size(models.vector_to_array("vector")).alias("n_dims"))
 
 

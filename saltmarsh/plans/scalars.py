@@ -7,7 +7,7 @@ from ..functions.numbers import tidy
 from ..operators import scale
 from ..operators.aggregate import equal_width_bin
 from ..operators.stats import quantile_values
-from ..sources import table
+from ..sources import table, use_all_slots
 from .aggregations import bin_sql
 from .registry import query, rnd
 
@@ -22,7 +22,7 @@ SELECT doc_id, md5(regexp_replace(replace(lower(text), chr(160), ' '), '[^\p{L}\
   length(regexp_replace(replace(lower(text), chr(160), ' '), '[^\p{L}\p{N}_\s]', '', 'g')) AS n FROM documents""")
 def text_normalize(spark, sf):
     clean = text.text_normalize(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.md5(clean).alias("digest"), F.length(clean).alias("n"))
+    return use_all_slots(table(spark, sf, "documents")).select("doc_id", F.md5(clean).alias("digest"), F.length(clean).alias("n"))
 
 
 @query("hhmm_to_minutes", "SELECT event_id, hour(ts) * 60 + minute(ts) AS minutes FROM events")
@@ -50,14 +50,14 @@ def split_count(spark, sf):
 @query("list_contains_score", f"""
 SELECT doc_id, CASE WHEN list_has_any({WORDS_SQL}, ['license', 'password', 'error']) THEN 1 ELSE 5 END AS score FROM documents""")
 def list_contains_score(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.list_contains_score(text.words(F.col("text")), BAD_WORDS).alias("score"))
+    return use_all_slots(table(spark, sf, "documents")).select("doc_id", text.list_contains_score(text.words(F.col("text")), BAD_WORDS).alias("score"))
 
 
 @query("tiered_tag_score", f"""
 SELECT doc_id, CASE WHEN list_has_any(w, ['the', 'and']) THEN 5 WHEN list_has_any(w, ['der', 'die']) THEN 4 WHEN list_has_any(w, ['que', 'la']) THEN 3
   WHEN list_has_any(w, ['les', 'des']) THEN 2 ELSE 1 END AS score FROM (SELECT doc_id, {WORDS_SQL} AS w FROM documents)""")
 def tiered_tag_score(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.tiered_tag_score(text.words(F.col("text")), TIERS).alias("score"))
+    return use_all_slots(table(spark, sf, "documents")).select("doc_id", text.tiered_tag_score(text.words(F.col("text")), TIERS).alias("score"))
 
 
 @query("map_value", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 5 WHEN 'O' THEN 3 END AS score FROM orders")
@@ -105,6 +105,13 @@ def poly_features(spark, sf):
                     tidy("l_tax_DEG2", 6).alias("l_tax_DEG2"), tidy("l_tax_DEG3", 8).alias("l_tax_DEG3"), F.lit(1).alias("intercept"))
 
 
+@query("poly_cross_terms", "SELECT l_orderkey, l_linenumber, " + ", ".join(
+    f"{rnd(f'{a} * {b}')} AS {a}_x_{b}" for i, a in enumerate(["l_quantity", "l_discount", "l_tax"]) for b in ["l_quantity", "l_discount", "l_tax"][i:]) + " FROM lineitem")
+def poly_cross_terms(spark, sf):
+    terms = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *numbers.cross_terms(["l_quantity", "l_discount", "l_tax"]))
+    return terms.select("l_orderkey", "l_linenumber", *[tidy(c, 6).alias(c) for c in terms.columns[2:]])
+
+
 LAMBDAS = [i / 10 for i in range(-20, 21)]
 
 
@@ -115,7 +122,7 @@ b AS (SELECT arg_max(lam, llf) AS lam FROM l)
 SELECT o_orderkey, {rnd('lam', 2)} AS lam, {rnd('CASE WHEN lam = 0 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END', 4)} AS transformed, {rnd('x - shift', 2)} AS restored FROM x, b, s""")
 def boxcox(spark, sf):
     """Transformed price and its inverse, which gives the price back."""
-    t = scale.boxcox_transform(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", LAMBDAS, "y")
+    t = scale.boxcox_transform(use_all_slots(table(spark, sf, "orders").select("o_orderkey", "o_totalprice")), "o_totalprice", LAMBDAS, "y")
     back = numbers.boxcox_inverse(F.col("y"), F.col("lam")) - F.col("shift")
     return t.select("o_orderkey", tidy("lam", 2).alias("lam"), tidy("y", 4).alias("transformed"), tidy(back, 2).alias("restored"))
 
@@ -147,7 +154,7 @@ HTML_SQL = rf"trim(regexp_replace({HTML_SQL}, '[ \t\r\n]+', ' ', 'g'))"
 
 @query("html_to_text", f"SELECT page_id, length(t) AS n, md5(t) AS digest FROM (SELECT page_id, {HTML_SQL} AS t FROM pages)")
 def html_to_text(spark, sf):
-    clean = table(spark, sf, "pages").select("page_id", text.html_to_text(F.col("html")).alias("t"))
+    clean = use_all_slots(table(spark, sf, "pages")).select("page_id", text.html_to_text(F.col("html")).alias("t"))
     return clean.select("page_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
 
 
@@ -160,14 +167,14 @@ def concat_text(spark, sf):
 @query("tokenize_counts", r"""
 SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+')) AS token FROM documents) GROUP BY 1""")
 def tokenize_counts(spark, sf):
-    tokens = table(spark, sf, "documents").select(F.explode(text.tokens(F.col("text"))).alias("token"))
+    tokens = use_all_slots(table(spark, sf, "documents")).select(F.explode(text.tokens(F.col("text"))).alias("token"))
     return tokens.groupBy("token").agg(F.count("*").alias("n"))
 
 
 @query("word_counts_without_stop_words", f"""
 SELECT word, count(*) AS n FROM (SELECT unnest({WORDS_SQL}) AS word FROM documents) WHERE word NOT IN ({', '.join(f"'{w}'" for w in STOP_WORDS)}) GROUP BY 1""")
 def word_counts_without_stop_words(spark, sf):
-    words = table(spark, sf, "documents").select(F.explode(text.words(F.col("text"))).alias("word"))
+    words = use_all_slots(table(spark, sf, "documents")).select(F.explode(text.words(F.col("text"))).alias("word"))
     return words.where(~F.col("word").isin(STOP_WORDS)).groupBy("word").agg(F.count("*").alias("n"))
 
 

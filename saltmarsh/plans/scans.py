@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ..functions.numbers import tidy
 from ..operators import models
 from ..session import scratch_path
-from ..sources import read_columnar, read_delimited, read_delimited_parts, reconcile_counts, table, write_and_read
+from ..sources import (read_columnar, read_delimited, read_delimited_parts, reconcile_counts, table, use_all_slots,
+                       write_and_read)
 from .registry import query, rnd
 
 
@@ -26,7 +27,7 @@ def scan_csv_glob(spark, sf):
     """Good files plus one file of broken lines (a key that is no number, columns missing)."""
     customer = table(spark, sf, "customer")
     path = scratch_path(spark, "customer-csv")
-    customer.repartition(4, "c_nationkey").write.option("header", True).csv(path)
+    use_all_slots(customer).write.option("header", True).csv(path)
     customer.select(F.concat(F.lit("broken"), F.col("c_custkey"), F.lit(",only two"))).write.mode("append").text(path)
     return read_delimited_parts(spark, path, customer.schema, ["c_custkey", "c_name", "c_mktsegment"])
 

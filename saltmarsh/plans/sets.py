@@ -90,6 +90,17 @@ def split_random(spark, sf):
     return rel.split_random(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.1)
 
 
+@query("split_holdouts", "SELECT o_orderkey, " + ", ".join(
+    f"CAST(CAST('0x' || substr(md5('{seed}-' || CAST(o_orderkey AS VARCHAR)), 1, 7) AS BIGINT) < CAST(floor(268435456 * 0.2::DOUBLE) AS BIGINT) AS INTEGER) AS holdout_{seed}"
+    for seed in (1, 2, 3)) + " FROM orders")
+def split_holdouts(spark, sf):
+    """Three repeated hold-outs of 20 percent, one column per seed."""
+    out = table(spark, sf, "orders").select("o_orderkey")
+    for seed in (1, 2, 3):
+        out = rel.split_random(out, "o_orderkey", 0.2, seed).withColumnRenamed("is_test", f"holdout_{seed}")
+    return out
+
+
 @query("union_all", f"""
 SELECT c_custkey AS id, c_name AS name, {rnd('c_acctbal', 2)} AS balance, c_mktsegment AS segment FROM customer
 UNION ALL SELECT s_suppkey, s_name, {rnd('s_acctbal', 2)}, NULL FROM supplier""")

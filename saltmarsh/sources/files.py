@@ -41,6 +41,11 @@ def write_and_read(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.read.format(fmt).load(path)
 
 
+def peek_line(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """Line ``n`` (0-based) of one text file."""
+    return spark.read.text(path).offset(n).limit(1)
+
+
 def reconcile_counts(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
     """Lines in the files against rows loaded; each file has one header line."""
     lines = spark.read.text(path)
