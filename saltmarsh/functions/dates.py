@@ -8,9 +8,20 @@ from pyspark.sql import functions as F
 DAYS_PER_MONTH = 30.436875  # fixed value: mean Gregorian month in days
 
 
+def _since_epoch(ts: Column) -> Column:
+    """Clock seconds since 1970 with microseconds; no time-zone shift, whatever the session zone is."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return (ts.cast("timestamp_ntz") - epoch).cast("interval second").cast("decimal(18,6)")
+
+
 def seconds_of(ts: Column) -> Column:
-    """Seconds since 1970 as a double, with the fraction."""
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
+    """Clock seconds since 1970 as a double."""
+    return _since_epoch(ts).cast("double")
+
+
+def micros_of(ts: Column) -> Column:
+    """Clock microseconds since 1970."""
+    return (_since_epoch(ts) * 1_000_000).cast("long")
 
 
 def months_between_instants(start: Column, end: Column) -> Column:

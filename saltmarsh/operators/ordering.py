@@ -42,6 +42,13 @@ def with_index(laid: DataFrame, name: str = "idx") -> DataFrame:
     return laid.join(F.broadcast(parts), PART).withColumn(name, F.col("__before") + F.col(POS)).drop("__before")
 
 
+def join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join per-group values back on; rows with a null key meet the group of nulls and are kept."""
+    renamed = groups.select(*[F.col(k).alias(f"__key_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+    return df.join(renamed, same, how).drop(*[f"__key_{k}" for k in keys])
+
+
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
     """``df`` plus its 0-based position in ``order`` (which must be a total order)."""
     return with_index(lay_out(df, order), name).drop(PART, POS)
@@ -53,7 +60,7 @@ def group_row_index(
     """0-based position inside each group; a hot group is spread over many sort partitions."""
     indexed = with_index(lay_out(df, [*by, *order]), "__i").drop(PART, POS)
     starts = indexed.groupBy(*by).agg(F.min("__i").alias("__start"))
-    return indexed.join(starts, list(by)).withColumn(name, F.col("__i") - F.col("__start")).drop("__i", "__start")
+    return join_groups(indexed, starts, by).withColumn(name, F.col("__i") - F.col("__start")).drop("__i", "__start")
 
 
 def running_total(
@@ -73,7 +80,7 @@ def running_total(
     )
     if by:
         starts = out.groupBy(*by).agg(F.min(F.col(name) - F.col("__v")).alias("__start"))
-        out = out.join(starts, list(by)).withColumn(name, F.col(name) - F.col("__start")).drop("__start")
+        out = join_groups(out, starts, by).withColumn(name, F.col(name) - F.col("__start")).drop("__start")
     return out.drop(PART, POS, "__before", "__v")
 
 

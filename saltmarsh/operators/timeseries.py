@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .ordering import PART, POS, lay_out, nearest_mark, row_index
+from .ordering import PART, POS, group_row_index, join_groups, lay_out, nearest_mark, row_index
+from .relational import md5_key
 from .stats import one_row
 
 BLOCK = 256  # rows per block: keeps (1-a)**-BLOCK far from overflow for spans of 2 and more
@@ -241,18 +242,14 @@ def learning_curve(df: DataFrame, order: Sequence[str], step: int, value: str) -
 
 def stratified_split(df: DataFrame, key: str, strata: Sequence[str], share: float = 0.1, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: exactly ``floor(share * n)`` pseudo-random rows of every stratum."""
-    from .ordering import group_row_index
-    from .relational import md5_key
     ranked = group_row_index(df.withColumn("_h", md5_key(key, seed)), list(strata), ["_h", key], "_r")
     sizes = df.groupBy(*strata).agg(F.count("*").alias("_n"))
-    out = ranked.join(sizes, list(strata))
+    out = join_groups(ranked, sizes, strata)
     return out.withColumn("is_test", (F.col("_r") + 1 <= F.col("_n") * F.lit(share)).cast("int")).drop(
         "_h", "_r", "_n")
 
 
 def kfold_split(df: DataFrame, key: str, strata: Sequence[str], k: int, seed: int = 42) -> DataFrame:
     """Adds ``fold``: rows of every stratum dealt out to ``k`` folds in pseudo-random order."""
-    from .ordering import group_row_index
-    from .relational import md5_key
     ranked = group_row_index(df.withColumn("_h", md5_key(key, seed)), list(strata), ["_h", key], "_r")
     return ranked.withColumn("fold", (F.col("_r") % k).cast("int")).drop("_h", "_r")

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import previous_value, running_total
+from .ordering import join_groups, previous_value, running_total
 
 
-def attach_count(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    """Rows per key on every row. Counts are combined before the shuffle and joined back, so a
-    hot key is not gathered in one task as a window would do."""
-    return df.join(df.groupBy(*by).agg(F.count("*").alias(name)), list(by))
+def attach_counts(df: DataFrame, counts: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows per key on every row, for several keys: ``{name: key columns}``.
+
+    Counts are combined before the shuffle and joined back, so a hot key is not gathered in one
+    task as a window would do.
+    """
+    out = df
+    for name, by in counts.items():
+        out = join_groups(out, df.groupBy(*by).agg(F.count("*").alias(name)), by)
+    return out
 
 
 def cumulative_share(df: DataFrame, key: str, value: str, limit: float = 0.8) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import micros_of
 from ..functions.numbers import tidy
 from ..operators import aggregate, knn
 from ..operators import relational as rel
@@ -69,7 +70,7 @@ SELECT event_id, CASE WHEN left_mark IS NULL OR right_mark - us < us - left_mark
 FROM b""")
 def nearest_join(spark, sf):
     """Start of the closest hour that has events, for every event."""
-    events = table(spark, sf, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    events = table(spark, sf, "events").withColumn("us", micros_of(F.col("ts")))
     marks = events.groupBy(F.date_trunc("hour", "ts")).agg(F.min("us").alias("mark")).select("mark")
     near = nearest_mark(events.select("event_id", "us"), "us", marks, "mark", "nearest")
     return near.select("event_id", F.coalesce("nearest", "us").alias("nearest"))

@@ -14,8 +14,8 @@ SELECT event_id, count(*) OVER (PARTITION BY user_id) AS n_user, count(*) OVER (
 FROM events""")
 def window_count(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", F.date_trunc("hour", "ts").alias("hour"))
-    return win.attach_count(win.attach_count(events, ["user_id"], "n_user"), ["user_id", "hour"], "n_user_hour").select(
-        "event_id", "n_user", "n_user_hour")
+    counted = win.attach_counts(events, {"n_user": ["user_id"], "n_user_hour": ["user_id", "hour"]})
+    return counted.select("event_id", "n_user", "n_user_hour")
 
 
 @query("cumulative_share_pareto", f"""
@@ -70,7 +70,7 @@ WITH w AS (SELECT count(*) OVER (PARTITION BY user_id, CAST(ts AS DATE)) AS n FR
 SELECT n FROM r WHERE i = (SELECT CAST(floor(count(*) * 0.8::DOUBLE) AS BIGINT) FROM events)""")
 def value_at_rank(spark, sf):
     events = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day"))
-    return win.value_at_rank(win.attach_count(events, ["user_id", "day"], "n"), "n", 0.8)
+    return win.value_at_rank(win.attach_counts(events, {"n": ["user_id", "day"]}), "n", 0.8)
 
 
 @query("rank_encode", """

@@ -281,3 +281,22 @@ def test_stream_scores_every_record_once_over_many_batches(spark, tmp_path):
     out = stream_score(spark, str(tmp_path / "in"), df.schema, lambda d: d.select("i", numbers.three_way(F.col("p"), 0.6).alias("a")), max_files=1)
     want = {r["i"]: r["a"] for r in df.select("i", numbers.three_way(F.col("p"), 0.6).alias("a")).collect()}
     assert sorted((r["i"], r["a"]) for r in out.collect()) == sorted(want.items())
+
+
+def test_rows_with_null_keys_are_kept(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "i int, k string")
+    assert {r["i"]: r["n"] for r in windows.attach_counts(df, {"n": ["k"]}).collect()} == {1: 2, 2: 2, 3: 1}
+    assert {r["i"]: r["n"] for r in ordering.group_row_index(df, ["k"], ["i"], "n").collect()} == {1: 0, 2: 1, 3: 0}
+    assert timeseries.kfold_split(df, "i", ["k"], 2).count() == 3
+
+
+def test_clock_time_does_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            d = spark.sql("select timestamp_ntz'2020-03-08 00:00:00.000001' a").select(
+                dates.micros_of(F.col("a")).alias("us"), dates.seconds_of(F.col("a")).alias("s")).first()
+            assert d["us"] == 1583625600000001 and d["s"] == pytest.approx(1583625600.000001)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
