@@ -103,23 +103,52 @@ def _broadcast_search(queries: DataFrame, data: DataFrame, k: int, metric: str)
     return queries.mapInPandas(search, "qid long, vid long, distance double")
 
 
-def _assign(df: DataFrame, key: str, pivots: np.ndarray, metric: str, all_distances: bool) -> DataFrame:
+def _assign(df: DataFrame, key: str, pivots: np.ndarray, metric: str) -> DataFrame:
+    """Cell (nearest pivot) and distance to it."""
     shared = df.sparkSession.sparkContext.broadcast(pivots)
-    schema = f"{key} long, vec array<double>, cell int, r double" + (", ds array<double>" if all_distances else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = shared.value
         for pdf in batches:
-            if not len(pdf):
-                continue
-            d = np.stack([_distances(p, v, metric) for v in _matrix(pdf["vec"])])
-            cell = d.argmin(axis=1)
-            out = pdf.assign(cell=cell.astype(np.int32), r=d[np.arange(len(d)), cell])
-            if all_distances:
-                out["ds"] = list(d)
-            yield out
+            if len(pdf):
+                d = np.stack([_distances(shared.value, v, metric) for v in _matrix(pdf["vec"])])
+                cell = d.argmin(axis=1)
+                yield pdf.assign(cell=cell.astype(np.int32), r=d[np.arange(len(d)), cell])
+
+    return df.select(key, "vec").mapInPandas(run, f"{key} long, vec array<double>, cell int, r double")
+
+
+def _assign_queries(queries: DataFrame, pivots: np.ndarray, extent: np.ndarray, metric: str) -> DataFrame:
+    """Home cell, an upper bound of the k-th distance, and the cells a neighbour may lie in.
+
+    ``extent`` holds per cell the smallest and largest pivot distance of its rows and a radius that
+    holds at least k of them. Each cell comes with a lower bound of the distance to any of its rows.
+    """
+    between = np.stack([_distances(pivots, p, metric) for p in pivots])
+    shared = queries.sparkSession.sparkContext.broadcast((pivots, extent, between))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p, (lo, hi, holds_k), apart = shared.value
+        for pdf in batches:
+            homes, bounds, nears = [], [], []
+            for v in _matrix(pdf["vec"]) if len(pdf) else []:
+                d = _distances(p, v, metric)
+                home = int(d.argmin())
+                upper = float((d + holds_k).min())
+                low = np.maximum(np.maximum(d - hi, lo - d), 0.0)
+                if metric == "euclidean":  # rows of another cell lie beyond the plane between the pivots
+                    plane = (d * d - d[home] ** 2) / (2 * np.where(apart[home] > 0, apart[home], np.inf))
+                else:
+                    plane = (d - d[home]) / 2
+                low = np.maximum(low, plane - SLACK * (1 + d))
+                keep = np.flatnonzero(low <= upper * (1 + SLACK) + SLACK)
+                homes.append(home)
+                bounds.append(upper)
+                nears.append([{"cell": int(c), "d": float(d[c]), "low": float(low[c])} for c in keep])
+            yield pdf.assign(cell=np.array(homes, dtype=np.int32), r=0.0, upper=np.array(bounds, dtype=float), near=nears)
 
-    return df.select(key, "vec").mapInPandas(run, schema)
+    schema = "qid long, vec array<double>, cell int, r double, upper double, near array<struct<cell:int,d:double,low:double>>"
+    found = queries.select("qid", "vec").mapInPandas(run, schema)
+    return found.withColumn("r", F.get(F.filter("near", lambda s: s["cell"] == F.col("cell")), F.lit(0))["d"])
 
 
 def _probe(pairs: DataFrame, chunks: DataFrame, k: int, metric: str) -> DataFrame:
@@ -148,28 +177,32 @@ def _pivot_search(queries: DataFrame, data: DataFrame, n_data: int, k: int, metr
     rows = data.select("vec").orderBy(F.xxhash64("vid"), "vid").limit(n_pivots).toArrow()
     pivots = np.asarray(rows.column("vec").combine_chunks().flatten()).reshape(rows.num_rows, -1)
 
-    laid = lay_out(_assign(data, "vid", pivots, metric, False), ["cell", "r", "vid"])
+    laid = lay_out(_assign(data, "vid", pivots, metric), ["cell", "r", "vid"])
     chunks = laid.withColumn("blk", F.floor(F.col(POS) / CHUNK_ROWS)).drop(POS)
     rings = durable(chunks.groupBy("cell", PART, "blk").agg(
         F.min("r").alias("lo"), F.max("r").alias("hi"), F.count("*").alias("n")))
-    q = durable(_assign(queries, "qid", pivots, metric, True))
+    # three numbers per pivot; every pivot is a data row, so no cell is empty
+    cells = rings.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                      F.min(F.when(F.col("n") >= k, F.col("hi"))).alias("k")).collect()
+    extent = np.full((3, len(pivots)), np.inf)
+    for c in cells:
+        extent[:, c["cell"]] = c["lo"], c["hi"], np.inf if c["k"] is None else c["k"]
+    q = durable(_assign_queries(queries, pivots, extent, metric))
 
     # first look: the home-cell chunk nearest to the query gives a first k-th distance
     gap = F.greatest(F.col("r") - F.col("hi"), F.col("lo") - F.col("r"), F.lit(0.0))
-    cells = rings.select("cell").distinct()  # an empty home cell falls back to no first look
-    home = q.join(cells, "cell", "left_semi").join(rings, "cell").groupBy("qid").agg(
+    home = q.select("qid", "cell", "r").join(rings, "cell").groupBy("qid").agg(
         F.min_by(F.struct("cell", PART, "blk"), F.struct(gap, F.col(PART), F.col("blk"))).alias("c")).select("qid", "c.*")
+    home = durable(home)
     first = durable(_probe(home.join(q.select("qid", "vec"), "qid"), chunks, k, metric))
     bound = first.groupBy("qid").agg(F.max("distance").alias("kth"), F.count("*").alias("n")).select(
         "qid", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
 
     # second look: every other chunk whose ring may hold something at most as far away
     near = q.join(bound, "qid", "left").select(
-        "qid", "vec", F.coalesce("kth", F.lit(float("inf"))).alias("kth"), F.posexplode("ds").alias("cell", "d"))
-    extent = rings.groupBy("cell").agg(F.min("lo").alias("cell_lo"), F.max("hi").alias("cell_hi"))
+        "qid", "vec", F.least("upper", F.coalesce("kth", "upper")).alias("kth"), F.explode("near").alias("c"))
     reach = F.col("kth") * (1 + SLACK) + SLACK
-    near = near.join(F.broadcast(extent), "cell").where(  # one row per pivot
-        (F.col("d") - F.col("cell_hi") <= reach) & (F.col("cell_lo") - F.col("d") <= reach))
+    near = near.where(F.col("c.low") <= reach).select("qid", "vec", "kth", "c.cell", "c.d")
     second = near.join(rings, "cell").where(
         (F.col("d") - F.col("hi") <= reach) & (F.col("lo") - F.col("d") <= reach))
     second = second.select("qid", "vec", "cell", PART, "blk").join(home, ["qid", "cell", PART, "blk"], "left_anti")

@@ -300,3 +300,13 @@ def test_clock_time_does_not_depend_on_the_session_zone(spark):
             assert d["us"] == 1583625600000001 and d["s"] == pytest.approx(1583625600.000001)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_partitioned_knn_equals_broadcast_knn_on_embeddings(spark, sf, metric, monkeypatch):
+    from saltmarsh.sources import table
+    monkeypatch.setattr(knn, "CHUNK_ROWS", 64)
+    e = table(spark, sf, "embeddings")
+    run = lambda limit: knn.knn_join(e, e, 5, query_key="vec_id", data_key="vec_id", vector="embedding", metric=metric, broadcast_bytes=limit)
+    rows = lambda df: sorted((r["vec_id"], r["rank"], r["neighbor"], round(r["distance"], 9)) for r in df.collect())
+    assert rows(run(0)) == rows(run(1 << 30))
