@@ -141,8 +141,9 @@ def pairwise_distance(spark, sf):
 
 
 @query("reco_lookup", NN_SQL + """
-SELECT vec_id, '[' || string_agg('{"id":' || neighbor || ',"name":"' || d.lang || '/' || d.source || '"}', ',' ORDER BY rank) || ']' AS recommendations
-FROM nn JOIN documents d ON d.doc_id = neighbor WHERE rank <= 6 AND neighbor <> vec_id AND vec_id = 17 GROUP BY vec_id""")
+SELECT vec_id, '[' || string_agg('{"id":' || neighbor || CASE WHEN d.doc_id IS NULL THEN '' ELSE ',"name":"' || d.lang || '/' || d.source || '"' END || '}', ',' ORDER BY rank) || ']' AS recommendations
+FROM nn LEFT JOIN documents d ON d.doc_id = neighbor WHERE rank <= 6 AND neighbor <> vec_id AND vec_id = 17 GROUP BY vec_id""")
 def reco_lookup(spark, sf):
+    """Neighbours of one item with their names; an item without a document stays, without a name."""
     names = table(spark, sf, "documents").select("doc_id", F.concat_ws("/", "lang", "source").alias("name"))
     return knn.recommendations_json(neighbors(spark, sf, 6), names, "vec_id", 17, "doc_id", "name")
