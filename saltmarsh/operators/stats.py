@@ -93,21 +93,25 @@ def _bracketed(df: DataFrame, wanted: dict[str, list[float]]) -> DataFrame:
 
 
 def quantile_values(df: DataFrame, column: str, probs: Sequence[float], max_buffer: int | None = None) -> list[Column]:
-    """Quantiles of the whole table as scalar-subquery columns."""
+    """Quantiles of the whole table as literals."""
     return quantile_table(df, [column], probs, max_buffer)[column]
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                    max_buffer: int | None = None) -> dict[str, list[Column]]:
-    """Quantiles of several columns as scalar-subquery columns; the passes are shared by all columns."""
+    """Quantiles of several columns as literals; the passes are shared by all columns.
+
+    They are computed here, once: as literals, conditions on them reach the scan, and an expensive
+    subquery is not run again for each place that mentions it.
+    """
     limit = PERCENTILE_BUFFER_BYTES if max_buffer is None else max_buffer
     if estimated_bytes(df.select(*columns)) > limit:
         found = _bracketed(df, {c: [float(p) for p in probs] for c in columns})
     else:
         at = F.array(*[F.lit(float(p)) for p in probs])
         found = df.agg(*[F.percentile(F.col(c).cast("double"), at).alias(c) for c in columns])
-    row = found.select(F.struct(*columns).alias("s")).scalar()
-    return {c: [row[c][i] for i in range(len(probs))] for c in columns}
+    row = found.first()
+    return {c: [F.lit(row[c][i] if row[c] else None).cast("double") for i in range(len(probs))] for c in columns}
 
 
 def sample_skewness(column: Column | str) -> Column:

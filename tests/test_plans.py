@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from saltmarsh.operators import encode, relational, stats
+from saltmarsh.operators import encode, relational, scale, stats
 from saltmarsh.plans import QUERIES
 from saltmarsh.sources import table
 
@@ -37,8 +37,13 @@ def test_top_n_is_limited_before_the_shuffle(spark, sf):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_statistics_are_subqueries_not_joins(spark, sf):
+def test_quantile_bounds_reach_the_scan(spark, sf):
     text = plan(relational.within_quantiles(table(spark, sf, "lineitem"), "l_extendedprice"))
+    assert "GreaterThanOrEqual(l_extendedprice" in text and "LessThanOrEqual(l_ext" in text and "Join" not in text
+
+
+def test_statistics_are_subqueries_not_joins(spark, sf):
+    text = plan(scale.standard_scale(table(spark, sf, "lineitem"), ["l_quantity"]))
     assert "Subquery" in text and "Join" not in text
 
 
