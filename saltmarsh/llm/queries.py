@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from ..sources.tables import table
 from .exact_dup import exact_duplicates
 from .lines import without_repeated_lines
+from .mixing import schedule
+from .quality import resample
 from .registry import ORACLES, QUERIES, query
 from .shared import LOWER, UPPER
+from .token_files import token_round_trip
+from .tokens import encode_documents
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -42,3 +46,49 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
                       F.col("__sha").alias("kept_sha256"))
+
+
+MIX_WEIGHTS = {"src0": 240} | {f"src{i}": 40 for i in range(1, 20)}
+_NAMES = sorted(f"={n}" for n in MIX_WEIGHTS)
+_SHARES = [MIX_WEIGHTS[n[1:]] for n in _NAMES]
+MIX_SQL = f"""
+WITH RECURSIVE sched(t, done, pick) AS (
+  SELECT -1, list_transform(range({len(_NAMES)}), x -> 0), -1
+  UNION ALL
+  SELECT t + 1, list_transform(done, (d, i) -> d + CASE WHEN i - 1 = p THEN 1 ELSE 0 END), p FROM (
+    SELECT t, done, (list_min(list_filter(list_transform(range({len(_NAMES)}), x ->
+      CASE WHEN done[x + 1] < k[x + 1] AND (done[x + 1] * {sum(_SHARES)}) // k[x + 1] <= t + 1
+           THEN (((done[x + 1] + 1) * {sum(_SHARES)} + k[x + 1] - 1) // k[x + 1]) * 1000 + x END), y -> y IS NOT NULL))) % 1000 AS p
+    FROM (SELECT *, {_SHARES} AS k FROM sched) WHERE t < {sum(_SHARES) - 1})),
+period AS (SELECT t AS slot, {_NAMES}[pick + 1] AS name, {_SHARES}[pick + 1] AS weight,
+                  row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM sched WHERE t >= 0),
+share AS (SELECT DISTINCT name, weight FROM period),
+rows AS (SELECT doc_id, CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END AS name FROM documents),
+placed AS (SELECT doc_id, name, weight, (row_number() OVER (PARTITION BY name ORDER BY md5('mix:' || doc_id), doc_id) - 1) AS i
+           FROM rows JOIN share USING (name)),
+ends AS (SELECT name, weight, (coalesce(n, 0) + 15) // 16 AS missing FROM share LEFT JOIN (SELECT name, count(*) AS n FROM placed GROUP BY name) USING (name)),
+horizon AS (SELECT min(slot + (missing // ends.weight) * {sum(_SHARES)}) AS h FROM ends JOIN period ON period.name = ends.name AND k = missing % ends.weight),
+slots AS (SELECT doc_id, placed.name, i // 16 AS block, i % 16 AS place, slot + ((i // 16) // placed.weight) * {sum(_SHARES)} AS slot
+          FROM placed JOIN period ON period.name = placed.name AND k = (i // 16) % placed.weight)
+SELECT doc_id, name, CAST(block AS BIGINT) AS block, CAST(place AS BIGINT) AS place, CAST(slot AS BIGINT) AS slot, slot < h AS in_mix FROM slots, horizon
+UNION ALL SELECT doc_id, name, NULL, NULL, NULL, false FROM rows WHERE name NOT IN (SELECT name FROM share)"""
+
+
+@query("op2_mix_sources", MIX_SQL)
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schedule(table(spark, sf_dir, "documents"), {f"={n}": w for n, w in MIX_WEIGHTS.items()})
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_bpe")
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
