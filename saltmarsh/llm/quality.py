@@ -1,11 +1,12 @@
 """Quality by importance resampling: two hashed n-gram models and Gumbel top-k.
 
 Both models count hashed 4-grams of bytes and, as a second family, whether a word repeats the word
-before it: the raw model over all documents, the target model over good documents of a bounded sample of
-labels. A document's log weight is the sum of its grams' log ratios (target over raw). Adding Gumbel
-noise drawn from its id and keeping the k largest sums samples k documents without replacement in
-proportion to their weights; k is the number of documents that the target explains better than the raw
-corpus does (log weight above 0).
+before it: the raw model over all documents, the target model over the good documents of a bounded
+sample of labels, smoothed by ``PRIOR`` pseudo-counts of the raw model. A document's log weight is the
+mean log ratio (target over raw) of its grams plus that of its words, for ``LENGTH`` of them, so that
+long documents do not weigh more than short ones. Adding Gumbel noise drawn from its id and keeping the
+k largest sums samples k documents without replacement in proportion to their weights; k is the number
+of documents above the log weight that best tells the good labels of the sample from the bad ones.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from .shared import ship, stored, texts_of
 
 BUCKETS = 1 << 16
-#: labelled documents the target model is fitted on, at most; the smallest id hashes are taken
+#: labelled documents that fit the target model and the cut, at most; the smallest id hashes are taken
 MAX_LABELS = 20_000
+PRIOR, LENGTH = 1 << 14, 1000
 SEED = 5
 _FLUSH = 1 << 20
 
@@ -70,28 +72,32 @@ def _count(batches):
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[0, at]), pa.array(counts[1, at])], ["bucket", "raw", "target"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> np.ndarray | None:
-    """Log ratio per bucket; None if no document of ``docs`` is labelled good.
+def label_sample(labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
+    """Rows (id, good), ``max_labels`` at most. Good: all labels of the id have quality 1; null ids and qualities are ignored."""
+    known = labels.where(labels["doc_id"].isNotNull() & labels["quality"].isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"))
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels).select(F.col("doc_id").alias("__id"), (F.col("q") == 1).alias("__good"))
 
-    A document is good if all its labels have quality 1; null ids and null qualities are ignored. The
-    raw counts cover every row and whole text of ``docs``.
+
+def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray | None:
+    """Log ratio per bucket; None if no document of ``docs`` is labelled good in the sample.
+
+    The raw counts cover every row and whole text of ``docs``.
     """
     ship(docs.sparkSession)
-    good = labels.where(labels["doc_id"].isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
-    good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels).select(F.col("doc_id").alias("__good"))
-    # at most max_labels ids
+    # the sample has a bounded number of rows
     marked = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text")).join(
-        F.broadcast(good), F.col("doc_id") == F.col("__good"), "left")
-    counts = marked.select("text", F.col("__good").isNotNull().alias("good")).mapInArrow(_count, "bucket int, raw long, target long")
+        F.broadcast(sample), F.col("doc_id") == F.col("__id"), "left")
+    counts = marked.select("text", F.coalesce("__good", F.lit(False)).alias("good")).mapInArrow(_count, "bucket int, raw long, target long")
     rows = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()  # BUCKETS + 2 rows at most
     n = np.zeros((2, BUCKETS + 2))
     n[0, rows["bucket"]], n[1, rows["bucket"]] = rows["raw"], rows["target"]
     if not n[1].any():
         return None
-    ratio = np.empty(BUCKETS + 2)
+    ratio = np.zeros(BUCKETS + 2)
     for part in (slice(0, BUCKETS), slice(BUCKETS, BUCKETS + 2)):
-        p = np.log(n[:, part] + 1) - np.log(n[:, part].sum(1, keepdims=True) + n[:, part].shape[1])
-        ratio[part] = p[1] - p[0]
+        raw = n[0, part] / max(1, n[0, part].sum())
+        target = (n[1, part] + PRIOR * raw) / (n[1, part].sum() + PRIOR)
+        ratio[part] = np.log(np.divide(target, raw, out=np.ones_like(raw), where=raw > 0))
     return ratio
 
 
@@ -102,8 +108,22 @@ def gumbel(doc_id: int | None, seed: int) -> float:
 
 
 def log_weight(text: bytes, ratio: np.ndarray) -> float:
-    same, new = repeats(text)
-    return float(ratio[grams(text)].sum() + same * ratio[BUCKETS] + new * ratio[BUCKETS + 1])
+    g, (same, new) = grams(text), repeats(text)
+    words = same * ratio[BUCKETS] + new * ratio[BUCKETS + 1]
+    return float(LENGTH * (ratio[g].sum() / max(1, len(g)) + words / max(1, same + new)))
+
+
+def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
+    """The middle of the range of cuts that tell good from bad best, each class counting alike."""
+    if not len(good) or not len(bad):
+        return float("-inf")
+    at = np.unique(np.concatenate([good, bad]))
+    right = np.searchsorted(np.sort(bad), at, "right") / len(bad) - np.searchsorted(np.sort(good), at, "right") / len(good)
+    best = np.flatnonzero(right >= right.max() - 1e-12)
+    last = best[0]
+    while last + 1 in best:
+        last += 1
+    return float((at[best[0]] + at[min(last + 1, len(at) - 1)]) / 2)
 
 
 def scores(docs: DataFrame, ratio: np.ndarray | None, seed: int = SEED) -> DataFrame:
@@ -144,7 +164,7 @@ def resample(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, s
     """One row per row of ``docs``: doc_id, log_weight, key, kept.
 
     Null and empty texts have log weight 0. Rows that tie with the last one kept are kept too. Without
-    any good label all weights are 0 and all rows stay. Rows that repeat an id share their noise.
+    any good label all weights are 0 and all rows stay; without any bad one all rows stay as well. Rows that repeat an id share their noise.
     """
     got, threshold, _ = decide(docs, labels, max_labels, seed)
     return got.select("doc_id", "log_weight", "key", (F.col("key") >= threshold).alias("kept"))
@@ -152,11 +172,16 @@ def resample(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, s
 
 def decide(docs: DataFrame, labels: DataFrame, max_labels: int, seed: int) -> tuple[DataFrame, float, np.ndarray | None]:
     """The stored scores, the key of the last document kept, and the fitted log ratios."""
-    ratio = fit(docs, labels, max_labels)
+    sample = stored(label_sample(labels, max_labels), "labels")
+    ratio = fit(docs, sample)
     got = stored(scores(docs, ratio, seed), "weights")
     if ratio is None:
         return got, float("-inf"), None
-    k = got.where("log_weight > 0").count()
+    marked = got.join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).groupBy("doc_id").agg(
+        F.first("__good").alias("good"), F.min("log_weight").alias("w")).toPandas()  # one row per label of the sample at most
+    good = marked["good"].to_numpy(bool)
+    cut = best_cut(marked["w"].to_numpy()[good], marked["w"].to_numpy()[~good])
+    k = got.where(F.col("log_weight") > cut).count()
     return got, kth_largest(got, "key", k) if k else float("inf"), ratio
 
 

@@ -53,12 +53,12 @@ _NAMES = sorted(f"={n}" for n in MIX_WEIGHTS)
 _SHARES = [MIX_WEIGHTS[n[1:]] for n in _NAMES]
 MIX_SQL = f"""
 WITH RECURSIVE sched(t, done, pick) AS (
-  SELECT -1, list_transform(range({len(_NAMES)}), x -> 0), -1
+  SELECT -1, list_transform(range({len(_NAMES)}), lambda x: 0), -1
   UNION ALL
-  SELECT t + 1, list_transform(done, (d, i) -> d + CASE WHEN i - 1 = p THEN 1 ELSE 0 END), p FROM (
-    SELECT t, done, (list_min(list_filter(list_transform(range({len(_NAMES)}), x ->
+  SELECT t + 1, list_transform(done, lambda d, i: d + CASE WHEN i - 1 = p THEN 1 ELSE 0 END), p FROM (
+    SELECT t, done, (list_min(list_filter(list_transform(range({len(_NAMES)}), lambda x:
       CASE WHEN done[x + 1] < k[x + 1] AND (done[x + 1] * {sum(_SHARES)}) // k[x + 1] <= t + 1
-           THEN (((done[x + 1] + 1) * {sum(_SHARES)} + k[x + 1] - 1) // k[x + 1]) * 1000 + x END), y -> y IS NOT NULL))) % 1000 AS p
+           THEN (((done[x + 1] + 1) * {sum(_SHARES)} + k[x + 1] - 1) // k[x + 1]) * 1000 + x END), lambda y: y IS NOT NULL))) % 1000 AS p
     FROM (SELECT *, {_SHARES} AS k FROM sched) WHERE t < {sum(_SHARES) - 1})),
 period AS (SELECT t AS slot, {_NAMES}[pick + 1] AS name, {_SHARES}[pick + 1] AS weight,
                   row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM sched WHERE t >= 0),
