@@ -9,6 +9,7 @@ from ..sources.tables import table
 from .exact_dup import exact_duplicates
 from .lines import without_repeated_lines
 from .mixing import schedule
+from .near_dup import near_duplicates
 from .quality import resample
 from .registry import ORACLES, QUERIES, query
 from .shared import LOWER, UPPER
@@ -92,3 +93,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_bpe")
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op1_minhash_near_dedup")
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
