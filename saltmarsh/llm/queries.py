@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .exact_dup import exact_duplicates
+from .licenses import license_notices
 from .lines import without_repeated_lines
 from .mixing import schedule
 from .near_dup import near_duplicates
@@ -98,3 +99,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_minhash_near_dedup")
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices(table(spark, sf_dir, "documents"))
