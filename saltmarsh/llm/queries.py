@@ -16,6 +16,7 @@ from .registry import ORACLES, QUERIES, query
 from .shared import LOWER, UPPER
 from .token_files import token_round_trip
 from .tokens import encode_documents
+from .vectors import near_vectors
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -104,3 +105,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_license_scan")
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_notices(table(spark, sf_dir, "documents"))
+
+
+COSINE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CASE WHEN embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                       AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e FROM embeddings),
+pairs AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+links AS (SELECT x, count(*) AS n FROM pairs GROUP BY x)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON least.x = v.vec_id LEFT JOIN links ON links.x = v.vec_id"""
+
+
+@query("op9_embedding_near_dedup", COSINE_SQL)
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
