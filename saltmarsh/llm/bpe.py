@@ -20,37 +20,38 @@ import numpy as np
 WHITE = [9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 #: fixed values: endings cut off behind an apostrophe
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
-SPACE, LETTER, NUMBER, OTHER = range(4)
+SPACE, LETTER, NUMBER, OTHER, APART = range(5)
 KNOWN_WORDS, KNOWN_PAIRS = 300_000, 1_000_000
 
 _classes: list[np.ndarray] = []
 
 
 def classes() -> np.ndarray:
-    """Class of every code point."""
+    """Class of every code point; numbers above them, which stand for no text, are each apart."""
     if not _classes:
         kinds = {"L": LETTER, "N": NUMBER}
         table = np.array([kinds.get(unicodedata.category(chr(i))[0], OTHER) for i in range(0x110000)], np.uint8)
         table[WHITE] = SPACE
-        _classes.append(table)
+        _classes.append(np.append(table, np.uint8(APART)))
     return _classes[0]
 
 
-def word_starts(text: str) -> np.ndarray:
-    """Where the words of ``text`` begin, as the pattern of byte-level vocabularies cuts them."""
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    kind = classes()[code]
+def starts_of(code: np.ndarray) -> np.ndarray:
+    """Where words begin in an array of code points, as the pattern of byte-level vocabularies cuts them."""
+    table = classes()
+    kind = table[np.minimum(code, len(table) - 1)]
     n = len(code)
     start = np.empty(n, bool)
     start[0] = True
     np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start |= kind == APART
     # the last blank before a word is a word of its own, or part of the next one if it is 0x20
-    after = np.flatnonzero(start[1:] & (kind[:-1] == SPACE)) + 1
+    after = np.flatnonzero(start[1:] & (kind[:-1] == SPACE) & (kind[1:] != APART)) + 1
     start[after - 1] = True
     start[after[code[after - 1] == 32]] = False
     # a lone apostrophe that begins a word, before a letter
     for i in np.flatnonzero((code[:-1] == 39) & start[:-1] & (kind[1:] == LETTER)):
-        rest = text[i + 1:i + 3]
+        rest = "".join(chr(c) if c < 128 else "\0" for c in code[i + 1:i + 3].tolist())
         ending = next((e for e in ENDINGS if rest.startswith(e)), None)
         if ending:
             start[i + 1] = False
@@ -62,7 +63,7 @@ def word_starts(text: str) -> np.ndarray:
 def words_of(text: str) -> list[str]:
     if not text:
         return []
-    at = word_starts(text).tolist()
+    at = starts_of(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)).tolist()
     return [text[i:j] for i, j in zip(at, [*at[1:], len(text)])]
 
 

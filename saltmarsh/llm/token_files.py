@@ -13,39 +13,37 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .bpe import Known, split_special, words_of
+from .bpe import byte_letters
 from .rans import Reader, write_file
 from .shared import ship, stored
+from .word_table import WordTable
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 FILE_CHARS = 8_000_000
 
-_libraries: dict[str, tuple] = {}
+_libraries: dict[str, WordTable] = {}
 
 
-def library(vocabulary: str):
-    """The tokenizers library's encoder, its special tokens, and a table of the words it has encoded."""
+def library(vocabulary: str) -> WordTable:
+    """The tokenizers library behind a table of the words it has encoded.
+
+    Its pattern cuts words without looking across them, so a text's ids are those of its words; the
+    library's model encodes each word it has not met.
+    """
     if vocabulary not in _libraries:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        t.no_truncation()
-        t.no_padding()
         special = {str(a.content): i for i, a in t.get_added_tokens_decoder().items()}
-        _libraries[vocabulary] = special, Known(lambda w: t.encode(w, add_special_tokens=False).ids)
-    return _libraries[vocabulary]
+        letters = {b: c for c, b in byte_letters().items()}
+        tokenize = t.model.tokenize
 
+        def encode(word: str) -> list[int]:
+            return [k.id for k in tokenize(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters))]
 
-def encoded(text: str, special: dict[str, int], known: Known) -> np.ndarray:
-    """Ids of a whole text: as the pattern cuts words without looking across them, each is encoded once."""
-    found = []
-    for part in split_special(text, special):
-        if isinstance(part, int):
-            found.append(np.array([part], "<u4").tobytes())
-        else:
-            found.extend([x[0] for x in map(known.__getitem__, words_of(part))])
-    return np.frombuffer(b"".join(found), "<u4")
+        _libraries[vocabulary] = WordTable(encode, special)
+    return _libraries[vocabulary]
 
 
 def open_file(uri: str, write: bool = False):
@@ -80,15 +78,13 @@ def write_tokens(docs: DataFrame, folder: str | None = None, vocabulary: str = V
     dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches):
-        special, known = library(vocabulary)
+        words = library(vocabulary)
         ids, doc_ids, sizes = [], [], []
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                got = encoded(text or "", special, known)
-                ids += [got.astype(np.uint32), end]
-                doc_ids.append(doc)
-                sizes.append(len(got) + 1)
+            got, n = words.encode_texts([t or "" for t in batch.column("text").to_pylist()])
+            ids.append(np.insert(got, np.cumsum(n), np.uint32(end_id)))
+            doc_ids += batch.column("doc_id").to_pylist()
+            sizes += (n + 1).tolist()
         if doc_ids:
             part = TaskContext.get().partitionId()
             path = f"{target}/part-{part:06d}-{uuid.uuid4().hex}.rans"
