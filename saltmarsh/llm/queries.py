@@ -11,6 +11,7 @@ from .licenses import license_notices
 from .lines import without_repeated_lines
 from .mixing import schedule
 from .near_dup import near_duplicates
+from .passages import repeated_passages
 from .quality import resample
 from .registry import ORACLES, QUERIES, query
 from .shared import LOWER, UPPER
@@ -122,3 +123,8 @@ FROM v JOIN least ON least.x = v.vec_id LEFT JOIN links ON links.x = v.vec_id"""
 @query("op9_embedding_near_dedup", COSINE_SQL)
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_passage_dedup")
+def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
