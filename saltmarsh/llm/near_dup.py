@@ -192,6 +192,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose document stays: those with the smallest doc_id of their component."""
+    """The rows of ``docs`` whose document stays: those with the smallest doc_id of their component.
+
+    Rows without a doc_id can't be told apart and stay.
+    """
     gone = stored(near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "dropped")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone")), "left_anti")
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")

@@ -17,10 +17,18 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 BLANKS = " \t\n\x0b\x0c\r"
 HOT_GROUPS = 1024
+#: size of what a worker gets at once, at most (or one row)
+BATCH_SIZE = "8m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, so that worker code can import it wherever the driver was started."""
+    """Send this package to the executors, so that worker code can import it wherever the driver was started.
+
+    Arrow batches are bounded in bytes as well, as texts may be long.
+    """
+    batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(batch).rstrip("b") == str(64 << 20):  # the default
+        spark.conf.set(batch, BATCH_SIZE)
     sc = spark.sparkContext
     if getattr(sc, "_saltmarsh_shipped", False):
         return
