@@ -26,10 +26,10 @@ def rmse_mae(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def residual_weights(df: DataFrame, y: str, p: str, threshold: float) -> DataFrame:
-    """Rows whose weight ``(max|r| - |r|) / max|r|`` is above the threshold."""
+    """Rows whose weight ``(max|r| - |r|) / max|r|`` is above the threshold; none if the fit is perfect."""
     rows = df.withColumn("abs_residual", F.abs(F.col(y) - F.col(p)))
     top = one_row(rows, m=F.max("abs_residual"))["m"]
-    return rows.withColumn("weight", (top - F.col("abs_residual")) / top).where(F.col("weight") > threshold)
+    return rows.withColumn("weight", (top - F.col("abs_residual")) / F.nullif(top, F.lit(0.0))).where(F.col("weight") > threshold)
 
 
 def error_cut(df: DataFrame, y: str, p: str, percent: float, threshold: float) -> DataFrame:
@@ -100,11 +100,11 @@ def misclassified(df: DataFrame, actual: str, predicted: str, k: int = 50) -> Da
 
 
 def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Rank-sum AUC from positives and negatives per distinct score."""
+    """Rank-sum AUC from positives and negatives per distinct score; null if a class is absent."""
     per = df.groupBy(score).agg(F.sum((F.col(y) == 1).cast("long")).alias("_pos"), F.sum((F.col(y) == 0).cast("long")).alias("_neg"))
     cum = running_total(per, [score], "_neg", "_below")
     won = F.col("_pos") * (F.col("_below") - F.col("_neg") / 2.0)
-    return cum.agg((F.sum(won) / (F.sum("_pos").cast("double") * F.sum("_neg"))).alias("auc"))
+    return cum.agg((F.sum(won) / F.nullif(F.sum("_pos").cast("double") * F.sum("_neg"), F.lit(0.0))).alias("auc"))
 
 
 def brier(df: DataFrame, y: str, p: str) -> DataFrame:

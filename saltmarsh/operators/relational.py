@@ -66,10 +66,10 @@ def within_quantiles(df: DataFrame, column: str, low: float = 0.01, high: float
 
 
 def without_zscore_outliers(df: DataFrame, columns: Sequence[str], limit: float = 4.0) -> DataFrame:
-    """Rows where every column is within ``limit`` population deviations of its mean."""
+    """Rows where every column is within ``limit`` population deviations of its mean; none if a column is constant."""
     stats = one_row(df, **{f"{c}_m": F.avg(c) for c in columns}, **{f"{c}_s": F.stddev_pop(c) for c in columns})
     for c in columns:
-        df = df.where(F.abs((F.col(c) - stats[f"{c}_m"]) / stats[f"{c}_s"]) <= limit)
+        df = df.where(F.abs((F.col(c) - stats[f"{c}_m"]) / F.nullif(stats[f"{c}_s"], F.lit(0.0))) <= limit)
     return df
 
 

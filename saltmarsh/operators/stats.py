@@ -115,9 +115,9 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 
 
 def sample_skewness(column: Column | str) -> Column:
-    """Bias-corrected skewness; Spark's ``skewness`` is the population form."""
+    """Bias-corrected skewness; Spark's ``skewness`` is the population form. Null below three values."""
     n = F.count(column)
-    return F.skewness(column) * F.sqrt(n * (n - 1)) / (n - 2)
+    return F.skewness(column) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0))
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -140,8 +140,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def completeness(df: DataFrame) -> DataFrame:
-    """Share of non-null values per column, in percent."""
-    one = df.agg(*[(F.count(c) * 100.0 / F.count("*")).alias(c) for c in df.columns])
+    """Share of non-null values per column, in percent; null on an empty table."""
+    one = df.agg(*[(F.count(c) * 100.0 / F.nullif(F.count("*"), F.lit(0))).alias(c) for c in df.columns])
     return one.unpivot([], df.columns, "column_name", "percent_complete")
 
 
@@ -162,7 +162,7 @@ def average_ranks(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Rank correlation of two columns."""
+    """Rank correlation of two columns; null if one is constant."""
     pairs = df.select(a, b).na.drop().groupBy(a, b).agg(F.count("*").alias("_w"))
     ra, rb = average_ranks(df.select(a, b).na.drop(), a, "_ra"), average_ranks(df.select(a, b).na.drop(), b, "_rb")
     ranked = pairs.join(ra, a).join(rb, b)
@@ -172,7 +172,7 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    return s.select((cov / F.sqrt(vx * vy)).alias("rho"))
+    return s.select((cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0))).alias("rho"))
 
 
 def gini(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -194,10 +194,10 @@ def gini(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def entropy(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Shannon entropy of each group's shares ``value / sum(value)``; zero shares add nothing."""
+    """Shannon entropy of each group's shares ``value / sum(value)``; zero shares and sums add nothing."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("_c"))
     totals = counts.groupBy(*by).agg(F.sum(F.col(value) * F.col("_c")).alias("_t"))
-    p = F.col(value) / F.col("_t")
+    p = F.col(value) / F.nullif(F.col("_t"), F.lit(0))
     term = F.when(p > 0, -p * F.log(p) * F.col("_c")).otherwise(F.lit(0.0))
     return counts.join(totals, list(by)).groupBy(*by).agg(F.sum(term).alias("entropy"))
 

@@ -23,10 +23,13 @@ def attach_counts(df: DataFrame, counts: Mapping[str, Sequence[str]]) -> DataFra
 
 
 def cumulative_share(df: DataFrame, key: str, value: str, limit: float = 0.8) -> DataFrame:
-    """Descending cumulative sum of a non-negative value, its share, and whether it is below ``limit``."""
+    """Descending cumulative sum of a non-negative value, its share, and whether it is below ``limit``.
+
+    The share is null where the total is 0.
+    """
     total = df.agg(F.sum(value).alias("t")).scalar()
     cum = running_total(df.select(key, value), [F.desc(value), F.asc(key)], value, "cum")
-    return cum.withColumn("cum_share", F.col("cum") / total).withColumn(
+    return cum.withColumn("cum_share", F.col("cum") / F.nullif(total, F.lit(0))).withColumn(
         "in_core", (F.col("cum") < total * F.lit(limit)).cast("int"))
 
 

@@ -310,3 +310,15 @@ def test_partitioned_knn_equals_broadcast_knn_on_embeddings(spark, sf, metric, m
     run = lambda limit: knn.knn_join(e, e, 5, query_key="vec_id", data_key="vec_id", vector="embedding", metric=metric, broadcast_bytes=limit)
     rows = lambda df: sorted((r["vec_id"], r["rank"], r["neighbor"], round(r["distance"], 9)) for r in df.collect())
     assert rows(run(0)) == rows(run(1 << 30))
+
+
+def test_no_division_by_zero(spark):
+    flat = spark.createDataFrame([("a", 3.0, 0.0, 1), ("a", 3.0, 0.0, 1)], "k string, x double, z double, one int")
+    assert relational.without_zscore_outliers(flat, ["x"]).count() == 0
+    assert flat.agg(stats.sample_skewness("x").alias("s")).first()["s"] is None
+    assert {r["percent_complete"] for r in stats.completeness(flat.limit(0)).collect()} == {None}
+    assert stats.spearman(flat, "x", "z").first()["rho"] is None
+    assert stats.entropy(flat, "z", ["k"]).first()["entropy"] == 0
+    assert [r["cum_share"] for r in windows.cumulative_share(flat, "one", "z").collect()] == [None, None]
+    assert metrics.residual_weights(flat, "x", "x", 0.1).count() == 0
+    assert metrics.roc_auc(flat, "one", "x").first()["auc"] is None
