@@ -226,3 +226,12 @@ def test_changed_passages_are_found(share):
         assert all(g[1] - g[0] >= 49 and g[3] - g[2] >= 49 and 100 * g[4] >= 75 * g[5] for g in got)
         found += bool(got)
     assert found >= {0.0: 20, 0.02: 9, 0.03: 5}[share]
+
+
+def test_passage_around_the_anchor_is_one_run():
+    rng = np.random.default_rng(5)
+    names = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    for _ in range(40):
+        common = names(55)
+        x, y = (passages.Text(" ".join([*names(20), *common, *names(30)]).encode(), 46) for _ in "ab")
+        assert [(r[0], r[1], r[2], r[3]) for r in passages.common_passages(x, y)] == [(20, 74, 20, 74)]
