@@ -9,10 +9,16 @@ about once in 200 000 times.
 
 Documents with equal sets are one class, and only classes are compared. A band bucket never emits its
 pairs: first every member meets the smallest one; members that ended in the same component by confirmed
-links are done, and only where a bucket still holds several components do the members outside its
-largest one meet the rest. Pairs must pass the exact bound on set sizes, then the Jaccard estimate of
-their registers, corrected for registers that agree by chance and with six standard deviations to spare;
-the links themselves are confirmed on the full sets of both texts.
+links are done, and only where a bucket still holds several components is it looked at again. There the
+shingles are put in an order of the bucket's own: those that its smallest member lacks come first, then by
+hash. Two sets that reach the similarity share one of their first ``n - ceil(0.75 n) + 1`` shingles in any
+common order, so members meet only over such a shingle. Documents that share just a passage have it in
+common with the smallest member too, so it comes last and brings none of them together. Of shingles that
+the same members share one is enough, and again only members outside the largest component meet the rest.
+
+Pairs must pass the exact bound on set sizes, then the Jaccard estimate of their registers, corrected for
+registers that agree by chance and with six standard deviations to spare; the links themselves are
+confirmed on the full sets of both texts.
 """
 
 from __future__ import annotations
@@ -117,25 +123,78 @@ def _likely(percent: int):
 
 def _confirmed(percent: int):
     def run(batches):
-        sets: OrderedDict[bytes, np.ndarray] = OrderedDict()
-
-        def of(text):
-            if text not in sets:
-                sets[text] = shingle_set(text)
-                if len(sets) > 64:
-                    sets.popitem(last=False)
-            return sets[text]
-
+        sets = _Sets()
         for batch in batches:
             ok = []
             for ta, tb in zip(texts_of(batch.column("text_a")), texts_of(batch.column("text_b"))):
-                x, y = of(ta), of(tb)
+                x, y = sets.of(ta), sets.of(tb)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return run
 
 
+class _Sets:
+    """The shingle sets of the last texts asked for."""
+
+    def __init__(self, room: int = 64):
+        self.room, self.sets = room, OrderedDict()
+
+    def of(self, text: bytes) -> np.ndarray:
+        if text not in self.sets:
+            self.sets[text] = shingle_set(text)
+            if len(self.sets) > self.room:
+                self.sets.popitem(last=False)
+        return self.sets[text]
+
+
+def first_shingles(s: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of set ``s`` of which a set as similar has at least one among its own; those in ``common`` come last."""
+    n = len(s) + (-percent * len(s)) // 100 + 1
+    rare = np.setdiff1d(s, common, assume_unique=True)
+    if len(rare) >= n:
+        return rare[:n]
+    return np.concatenate([rare, np.intersect1d(s, common, assume_unique=True)[: n - len(rare)]])
+
+
+def _firsts(percent: int):
+    def run(batches):
+        for batch in batches:
+            sets = _Sets(8)
+            ids, labels = batch.column("cid"), batch.column("label")
+            hubs = batch.column("hub").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            found = [np.empty(0, np.uint64)]
+            for i, (text, hub_text) in enumerate(zip(texts_of(batch.column("text")), texts_of(batch.column("hub_text")))):
+                found.append(mix(first_shingles(shingle_set(text), sets.of(hub_text), percent) ^ mix(hubs[i:i + 1])))
+            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) for f in found[1:]]))
+            keys = pa.array(np.concatenate(found).view(np.int64))
+            yield pa.RecordBatch.from_arrays([keys, ids.take(row), labels.take(row)], ["bucket", "cid", "label"])
+    return run
+
+
+def _unsettled(named: DataFrame) -> DataFrame:
+    """Rows (bucket, cid, label) of buckets with several labels, with the most frequent one as ``main``."""
+    parts = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    several = parts.groupBy("bucket").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
+    return named.join(several.select("bucket", "main"), "bucket")
+
+
+def _sharing(rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Rows (bucket, cid, label), a bucket for each first shingle that members (hub, cid, label) of a hub share.
+
+    Of buckets with the same members (by count and two sums of hashes) one is left.
+    """
+    wanted = stored(rows.select(F.col("cid").alias("doc_id")).unionAll(rows.select("hub")).distinct(), "wanted")
+    found = stored(texts.join(wanted, "doc_id", "left_semi"), "wanted-texts")
+    pairs = rows.join(found.select(F.col("doc_id").alias("cid"), "text"), "cid").join(
+        found.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    firsts = stored(pairs.select("hub", "cid", "label", "text", "hub_text").mapInArrow(_firsts(percent), "bucket long, cid long, label long"), "first-shingles")
+    sums = [F.sum(F.xxhash64(F.lit(i), "cid").cast("decimal(20,0)")).alias(f"s{i}") for i in range(2)]
+    shared = firsts.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), *sums)
+    chosen = shared.where("low < high").groupBy("n", "s0", "s1").agg(F.min("bucket").alias("bucket"))
+    return firsts.join(chosen.select("bucket"), "bucket").distinct()
+
+
 def _links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that hold on the full sets."""
     for side in "ab":
@@ -172,12 +231,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = _links(stars, sketches, some, percent)
 
     labels = components(links)
-    named = members.select("bucket", "cid").distinct().join(labels, F.col("cid") == F.col("node"), "left").select(
-        "bucket", "cid", F.coalesce("component", "cid").alias("label"))
-    named = stored(named, "labelled-members")
-    parts = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    open_buckets = parts.groupBy("bucket").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
-    left = stored(named.join(open_buckets.select("bucket", "main"), "bucket"), "open-members")
+    named = members.select("bucket", "hub", "cid").distinct().join(labels, F.col("cid") == F.col("node"), "left").select(
+        "bucket", "hub", "cid", F.coalesce("component", "cid").alias("label"))
+    again = stored(_unsettled(stored(named, "labelled-members")).select("hub", "cid", "label").distinct(), "open-members")
+    left = stored(_unsettled(stored(_sharing(again, some, percent), "sharing-members")), "open-sharing")
     rest = left.where("label != main").select("bucket", F.col("cid").alias("x"), F.col("label").alias("x_label"))
     met = rest.join(left.select("bucket", "cid", "label"), "bucket").where("label != x_label")
     pairs = met.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()

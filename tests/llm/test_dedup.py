@@ -235,3 +235,47 @@ def test_passage_around_the_anchor_is_one_run():
         common = names(55)
         x, y = (passages.Text(" ".join([*names(20), *common, *names(30)]).encode(), 46) for _ in "ab")
         assert [(r[0], r[1], r[2], r[3]) for r in passages.common_passages(x, y)] == [(20, 74, 20, 74)]
+
+
+def test_first_shingles_meet_in_any_common_order():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(1, 80))
+        pool = np.unique(rng.integers(0, 1 << 60, 2 * n).astype(np.uint64))
+        x = np.sort(rng.choice(pool, n, replace=False))
+        y = np.union1d(rng.choice(x, max(1, int(n * rng.uniform(0.7, 1))), replace=False), rng.choice(pool, n // 8, replace=False))
+        common = np.sort(rng.choice(pool, n, replace=False))
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 75 * (len(x) + len(y) - both):
+            assert len(np.intersect1d(near_dup.first_shingles(x, common, 75), near_dup.first_shingles(y, common, 75)))
+
+
+def test_near_duplicates_among_documents_that_share_a_passage(spark):
+    """Many short texts around one passage: buckets hold many components, some of them linked pairs."""
+    rng = np.random.default_rng(8)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        own = [f"w{i}x{j}" for j in range(int(rng.integers(5, 45)))]
+        texts.append(passage + own)
+        if i % 4 == 0:  # a near copy with one changed word
+            copy = texts[-1].copy()
+            copy[int(rng.integers(0, len(copy)))] = f"c{i}"
+            texts.append(copy)
+    order = rng.permutation(len(texts))
+    docs = [(int(k), " ".join(texts[i])) for k, i in enumerate(order)]
+    sets = [set(zip(*[t.split()[j:] for j in range(5)])) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    got = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: root(i) for i in range(len(docs))}
