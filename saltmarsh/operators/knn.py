@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import durable, ship_package
 from .ordering import PART, POS, lay_out
 
 BROADCAST_BYTES = 64 << 20
@@ -218,6 +218,7 @@ def knn_join(
     Ranks are 1-based; equal distances are ordered by neighbour id. ``metric`` is ``euclidean``
     or ``manhattan``; for ``cosine`` pass it as such and read ``distance`` as ``1 - cosine``.
     """
+    ship_package(data.sparkSession)
     cosine = metric == "cosine"
     metric = "euclidean" if cosine else metric
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
@@ -292,6 +293,7 @@ def silhouette_euclidean(df: DataFrame, key: str, vector: str, label: str, broad
     ``silhouette`` is the linear alternative there. Distances are summed per cluster inside the
     task; no pair leaves it.
     """
+    ship_package(df.sparkSession)
     rows = df.where(F.col(label).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("c"), as_vector(F.col(vector)).alias("vec"))
     size = rows.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
@@ -342,6 +344,7 @@ def silhouette(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     own = F.get(F.filter("d", lambda s: s["c"] == F.col("c")), F.lit(0))
     other = F.array_min(F.transform(F.filter("d", lambda s: s["c"] != F.col("c")), lambda s: s["d"]))
     scored = scored.select(own.alias("own"), other.alias("b"))
-    a = F.col("own.d") * F.col("own.n") / (F.col("own.n") - 1)
-    s = F.when(F.col("own.n") <= 1, F.lit(0.0)).otherwise((F.col("b") - a) / F.greatest(a, F.col("b")))
+    a = F.col("own.d") * F.col("own.n") / F.nullif(F.col("own.n") - 1, F.lit(0))
+    s = F.when(F.col("own.n") <= 1, F.lit(0.0)).otherwise(
+        F.coalesce((F.col("b") - a) / F.nullif(F.greatest(a, F.col("b")), F.lit(0.0)), F.lit(0.0)))
     return scored.agg(F.when(F.max("b").isNull(), F.lit(-1.0)).otherwise(F.avg(s)).alias("silhouette"))

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .ordering import PART, POS, group_row_index, join_groups, lay_out, nearest_mark, row_index
+from .ordering import PART, POS, group_row_index, join_groups, lay_out, nearest_mark, row_index, with_index
 from .relational import md5_key
 from .stats import one_row
 
-BLOCK = 256  # rows per block: keeps (1-a)**-BLOCK far from overflow for spans of 2 and more
+BLOCK = 256  # rows per block, and maps composed at once
+STRETCH = 300.0  # exp(STRETCH) is far from overflow
 
 
 def _fold(maps: Column, k: int) -> Column:
@@ -36,21 +37,38 @@ def _prefixes(segments: DataFrame, group: list[str], order: list[str], n: int) -
     return each, whole
 
 
+def _with_gap(laid: DataFrame, by: list[str], value: str) -> DataFrame:
+    """``_gap``: rows without a value between a row and the last value of its group; null if there is none before it."""
+    rows = with_index(laid, "_i").withColumn("_own", F.when(F.col(value).isNotNull(), F.struct(*by, "_i")))
+    parts = rows.groupBy(PART).agg(F.max_by("_own", F.when(F.col("_own").isNotNull(), F.col(POS))).alias("_end"))
+    earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(PART, F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+    inside = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(F.broadcast(parts), PART).withColumn("_prev", F.coalesce(F.last("_own", ignorenulls=True).over(inside), "_carry"))
+    same = F.col("_prev").isNotNull()
+    for key in by:
+        same = same & F.col(f"_prev.{key}").eqNullSafe(F.col(key))
+    return rows.withColumn("_gap", F.when(same, F.col("_i") - F.col("_prev._i") - 1)).drop("_own", "_prev", "_carry", "_i")
+
+
 def ema(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, spans: Sequence[int],
     names: Sequence[str], block: int = BLOCK,
 ) -> DataFrame:
     """Recursive averages ``y0 = x0``, ``y_t = (1-a) y_{t-1} + a x_t`` with ``a = 2/(span+1)``.
 
-    The recursion is affine in the value carried in, so it is computed per block of a global
-    sort, blocks are composed level by level, and the carried value is applied at the end. One
-    very long series is spread over many tasks.
+    Every row is kept. A row without a value repeats the average so far (null before the first value), and
+    ages it: after g such rows the old average weighs ``(1-a)^(g+1)`` against ``a``, divided by their sum.
+
+    Each row is an affine map of the value carried in. Maps are composed per block of a global sort, blocks
+    level by level, and the carried value is applied at the end; one very long series is spread over many
+    tasks. Where the decay inside a block passes ``exp(-STRETCH)``, a new stretch starts.
     """
-    if any(s < 2 for s in spans):
-        raise ValueError("spans must be at least 2")
+    if any(s < 1 for s in spans):
+        raise ValueError("spans must be at least 1")
     decay = [1 - 2.0 / (s + 1) for s in spans]
     n, by = len(spans), list(by)
-    laid = lay_out(df.where(F.col(value).isNotNull()), [*by, *order])
+    laid = _with_gap(lay_out(df, [*by, *order]), by, value)
     top = laid.agg(F.max(POS).alias("p")).first()["p"] or 0
     # Python numbers: block sizes of the levels below one sort partition
     sizes = [block]
@@ -58,24 +76,27 @@ def ema(
         sizes.append(sizes[-1] * BLOCK)
     levels = [f"_b{i}" for i in range(len(sizes))]
     rows = laid.select("*", *[F.floor(F.col(POS) / s).alias(lv) for lv, s in zip(levels, sizes)])
-    seg = [*by, PART, *reversed(levels)]
-    inside = Window.partitionBy(*seg).orderBy(POS)
-    rows = rows.withColumn("_j", F.row_number().over(inside))
+    has, first = F.col(value).isNotNull(), F.col("_gap").isNull()
     for k, d in enumerate(decay):
-        term = (1 - d) * F.col(value) * F.pow(F.lit(d), -F.col("_j"))
-        rows = rows.withColumn(f"_s{k}", F.sum(term).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    last = lambda c: F.max_by(c, "_j")
-    segments = rows.groupBy(*seg).agg(
-        F.max("_j").alias("_n"), F.min_by(value, "_j").alias("_x0"),
-        *[last(f"_s{k}").alias(f"_s{k}") for k in range(n)])
-    segments = segments.select(*seg, "_x0", *[c for k, d in enumerate(decay) for c in (
-        F.pow(F.lit(d), "_n").alias(f"A{k}"), (F.pow(F.lit(d), "_n") * F.col(f"_s{k}")).alias(f"B{k}"))])
-    segments = durable(segments)
-    firsts = segments.groupBy(*by).agg(F.min_by("_x0", F.struct(PART, levels[0])).alias("_first"))
+        old = F.pow(F.lit(d), F.col("_gap") + 1)
+        rows = rows.withColumn(f"_mul{k}", F.when(~has, F.lit(1.0)).when(first, F.lit(0.0)).otherwise(old / (old + (1 - d))))
+        rows = rows.withColumn(f"_add{k}", F.when(~has, F.lit(0.0)).when(first, F.col(value)).otherwise(F.col(value) * (1 - d) / (old + (1 - d))))
+    logs = [F.log(F.greatest(F.col(f"_mul{k}"), F.lit(1e-300))) for k in range(n)]
+    whole = Window.partitionBy(*by, PART, *reversed(levels)).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select("*", *[F.sum(c).over(whole).alias(f"_log{k}") for k, c in enumerate(logs)],
+                       F.floor(F.sum(F.least(*logs) if n > 1 else logs[0]).over(whole) / -STRETCH).alias("_stretch"))
+    seg = [*by, PART, *reversed(levels), "_stretch"]
+    inside = Window.partitionBy(*seg).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    for k in range(n):  # relative to the first row of the stretch, whose own map may forget everything
+        rows = rows.withColumn(f"_decayed{k}", F.exp(F.col(f"_log{k}") - F.first(f"_log{k}").over(inside)))
+        rows = rows.withColumn(f"_head{k}", F.first(f"_mul{k}").over(inside))
+        rows = rows.withColumn(f"_s{k}", F.sum(F.col(f"_add{k}") / F.col(f"_decayed{k}")).over(inside))
+    segments = durable(rows.groupBy(*seg).agg(*[F.max_by(c, POS).alias(name) for k in range(n) for c, name in (
+        (F.col(f"_decayed{k}") * F.col(f"_head{k}"), f"A{k}"), (F.col(f"_decayed{k}") * F.col(f"_s{k}"), f"B{k}"))]))
 
     # up: compose blocks into larger blocks; down: hand the carried-in map back to the small ones
     steps, current, keys = [], segments, seg
-    for _ in levels[1:]:
+    for _ in levels:
         each, current = _prefixes(current, keys[:-1], [keys[-1]], n)
         steps.append(each)
         keys = keys[:-1]
@@ -84,17 +105,17 @@ def ema(
         up = carried.select(*[c for c in carried.columns if not c.startswith("p")],
                             *[F.col(f"p{m}{k}").alias(f"q{m}{k}") for k in range(n) for m in "AB"])
         on = [c for c in up.columns if not c.startswith("q")]
-        joined = each.join(up, on)
+        joined = join_groups(each, up, on)
         carried = joined.select(*[c for c in each.columns if not c.startswith("p")], *[
             c for k in range(n) for c in (
                 (F.col(f"qA{k}") * F.col(f"pA{k}")).alias(f"pA{k}"),
                 (F.col(f"pA{k}") * F.col(f"qB{k}") + F.col(f"pB{k}")).alias(f"pB{k}"))])
-    carried = carried.join(firsts, by).select(
-        *seg, *[(F.col(f"pA{k}") * F.col("_first") + F.col(f"pB{k}")).alias(f"_in{k}") for k in range(n)])
-    out = rows.join(carried, seg)
+    # nothing is carried into a group, so only the constant of the map counts
+    carried = carried.select(*seg, *[F.col(f"pB{k}").alias(f"_in{k}") for k in range(n)])
+    out = join_groups(rows, carried, seg)
     return out.select(*df.columns, *[
-        (F.pow(F.lit(d), F.col("_j")) * (F.col(f"_in{k}") + F.col(f"_s{k}"))).alias(names[k])
-        for k, d in enumerate(decay)])
+        F.when(has | F.col("_gap").isNotNull(), F.col(f"_decayed{k}") * (F.col(f"_head{k}") * F.col(f"_in{k}") + F.col(f"_s{k}"))).alias(names[k])
+        for k in range(n)])
 
 
 def macd(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
@@ -115,6 +136,13 @@ def _group_table(df: DataFrame, group: str) -> DataFrame:
     return row_index(groups, [group], "__g").withColumn("__n", total.cast("long"))
 
 
+def _enough(groups: DataFrame, n_splits: int) -> None:
+    first = groups.select("__n").first()
+    found = first["__n"] if first else 0
+    if found < n_splits + 1:
+        raise ValueError(f"{n_splits} folds need at least {n_splits + 1} groups, not {found}")
+
+
 def _roles(groups: DataFrame, group: str, n_folds: int, ranges) -> DataFrame:
     """One row per (group, fold, role) from ``ranges(fold) -> [(role, start, end)]`` on group positions."""
     g = F.col("__g")
@@ -142,8 +170,10 @@ def purged_group_split(
     max_train_groups: int | None = None, max_test_groups: int | None = None, drop_head_rows: int | None = None,
 ) -> DataFrame:
     """Rows with ``fold`` and ``role``: test blocks of consecutive groups, a training block that ends
-    ``group_gap`` groups before, and the first ``drop_head_rows`` rows of each test block left out."""
+    ``group_gap`` groups before, and the first ``drop_head_rows`` rows of each test block left out.
+    Fewer groups than folds and one more are refused."""
     groups = _group_table(df, group)
+    _enough(groups, n_splits)
     n = F.col("__n")
     size = F.least(F.floor(n / (n_splits + 1)), F.lit(max_test_groups)) if max_test_groups else F.floor(n / (n_splits + 1))
 
@@ -162,6 +192,7 @@ def purged_stacking_split(
 ) -> DataFrame:
     """Three blocks per fold (train, val, test) with a gap before the second and the third."""
     groups = _group_table(df, group)
+    _enough(groups, n_splits)
     n = F.col("__n")
     size = F.least(F.floor(n / (n_splits + 1)), F.lit(max_test_groups))
 

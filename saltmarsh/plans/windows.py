@@ -49,6 +49,20 @@ def ema(spark, sf):
     return out.select("event_id", tidy("ema_12", 6).alias("ema_12"), tidy("ema_26", 6).alias("ema_26"))
 
 
+@query("ema_with_gaps", f"""
+WITH RECURSIVE o AS MATERIALIZED (SELECT event_id, user_id, CASE WHEN event_id % 7 > 1 THEN value END AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+r AS (SELECT user_id, i, event_id, x AS e, 1.0::DOUBLE AS w FROM o WHERE i = 1
+UNION ALL SELECT o.user_id, o.i, o.event_id,
+CASE WHEN o.x IS NULL THEN r.e WHEN r.e IS NULL THEN o.x ELSE (r.w * (11.0::DOUBLE / 13) * r.e + (2.0::DOUBLE / 13) * o.x) / (r.w * (11.0::DOUBLE / 13) + 2.0::DOUBLE / 13) END,
+CASE WHEN o.x IS NULL THEN r.w * (11.0::DOUBLE / 13) ELSE 1.0::DOUBLE END
+FROM r JOIN o ON o.user_id = r.user_id AND o.i = r.i + 1)
+SELECT event_id, {rnd('e')} AS ema_12 FROM r""")
+def ema_with_gaps(spark, sf):
+    """Rows without a value stay, repeat the average so far and age it."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", F.when(F.col("event_id") % 7 > 1, F.col("value")).alias("x"))
+    return ts.ema(events, ["user_id"], ["ts", "event_id"], "x", [12], ["ema_12"]).select("event_id", tidy("ema_12", 6).alias("ema_12"))
+
+
 @query("macd", EMA_SQL.format(s0=", 0.0::DOUBLE AS sig", s1=f", r.sig * 0.8::DOUBLE + {MACD_NEXT} * 0.2::DOUBLE") + f"""
 SELECT event_id, {rnd('e12 - e26')} AS macd, {rnd('sig')} AS macd_signal, {rnd('e12 - e26 - sig')} AS macd_diff FROM r""")
 def macd(spark, sf):

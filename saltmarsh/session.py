@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +52,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once, so that worker code can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_saltmarsh_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    handle, path = tempfile.mkstemp(prefix="saltmarsh-", suffix=".zip")
+    with os.fdopen(handle, "wb") as f, zipfile.ZipFile(f, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    atexit.register(lambda: os.path.exists(path) and os.unlink(path))
+    sc._saltmarsh_shipped = True
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and cut its lineage.
 

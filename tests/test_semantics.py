@@ -322,3 +322,33 @@ def test_no_division_by_zero(spark):
     assert [r["cum_share"] for r in windows.cumulative_share(flat, "one", "z").collect()] == [None, None]
     assert metrics.residual_weights(flat, "x", "x", 0.1).count() == 0
     assert metrics.roc_auc(flat, "one", "x").first()["auc"] is None
+
+
+def test_ema_keeps_and_ages_rows_without_a_value(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, t, None if rng.random() < gaps else float(rng.normal())) for k, n, gaps in (("a", 700, 0.4), ("b", 40, 0.9), ("c", 3, 1.0)) for t in range(n)]
+    rows += [("d", 0, 1.0)] + [("d", t, None) for t in range(1, 400)] + [("d", 400, 5.0), ("d", 401, 6.0)]
+    df = spark.createDataFrame(rows, "k string, t int, x double")
+    got = {(r["k"], r["t"]): (r["y1"], r["y3"]) for r in timeseries.ema(df, ["k"], ["t"], "x", [1, 3], ["y1", "y3"], block=16).collect()}
+    assert len(got) == len(rows)
+    for i, span in enumerate([1, 3]):
+        a = 2 / (span + 1)
+        for key in "abcd":
+            y, w = None, 1.0
+            for k, t, x in (r for r in rows if r[0] == key):
+                if x is None:
+                    w *= 1 - a
+                else:
+                    y, w = (x if y is None else (w * (1 - a) * y + a * x) / (w * (1 - a) + a)), 1.0
+                assert got[k, t][i] == (None if y is None else pytest.approx(y, abs=1e-9)), (k, t, span)
+
+
+def test_silhouette_of_equal_rows_is_zero(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0], i % 2) for i in range(4)], "id long, v array<double>, c int")
+    assert knn.silhouette(df, "id", "v", "c").first()["silhouette"] == 0
+
+
+def test_purged_split_refuses_too_few_groups(spark):
+    df = spark.createDataFrame([(i, i % 2) for i in range(6)], "t int, g int")
+    with pytest.raises(ValueError):
+        timeseries.purged_group_split(df, "g", ["t"], n_splits=5)
