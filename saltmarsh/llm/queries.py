@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .exact_dup import exact_duplicates
+from .imatch import fingerprints
 from .licenses import license_notices
 from .lines import without_repeated_lines
 from .mixing import schedule
 from .near_dup import near_duplicates
 from .passages import repeated_passages
+from .phrases import collocations
 from .quality import resample
 from .registry import ORACLES, QUERIES, query
 from .shared import LOWER, UPPER
 from .token_files import token_round_trip
 from .tokens import encode_documents
+from .value_codes import ENTRIES, PARTS, coded_vectors
 from .vectors import near_vectors
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -128,3 +131,77 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_passage_dedup")
 def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+PHRASE_SQL = r"""
+WITH pieces AS MATERIALIZED (
+  SELECT row_number() OVER () AS piece, lang, string_split(replace(p, chr(9), ' '), ' ') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(%s, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+words AS MATERIALIZED (SELECT piece, lang, i, word FROM (SELECT piece, lang, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM pieces) WHERE word <> ''),
+runs AS MATERIALIZED (SELECT lang, word AS w1, lead(word, 1) OVER p AS w2, lead(word, 2) OVER p AS w3, lead(word, 3) OVER p AS w4
+  FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)),
+grams AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM (
+  SELECT lang, 1 AS k, w1 AS g FROM runs UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL) GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, g, k, f AS a, string_split(g, ' ') AS w FROM grams WHERE k > 1 AND f >= 30),
+parts AS (SELECT lang, a, array_to_string(w[i : i + m - 1], ' ') AS g FROM cand, (VALUES (1), (2), (3)) s(i), (VALUES (2), (3)) t(m) WHERE m < k AND i + m - 1 <= k),
+inside AS MATERIALIZED (SELECT DISTINCT s.lang, s.g FROM cand s JOIN parts b USING (lang, g) WHERE 100 * b.a >= 80 * s.a),
+cuts AS (SELECT c.lang, c.g, c.a, t.c AS cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+         FROM cand c ANTI JOIN inside USING (lang, g) JOIN (VALUES (1), (2), (3)) t(c) ON t.c < c.k
+         JOIN grams x ON x.lang = c.lang AND x.g = array_to_string(c.w[1 : t.c], ' ')
+         JOIN grams y ON y.lang = c.lang AND y.g = array_to_string(c.w[t.c + 1 : c.k], ' ')),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) AS pick FROM cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM best WHERE pick = 1)
+SELECT lang, rank, g AS phrase, a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""" % NORMAL
+
+
+@query("op11_phrases", PHRASE_SQL)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents")).drop("path_words")
+
+
+@query("op12_imatch")
+def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def _assigned(book: str) -> str:
+    """Nearest entry and its distance per vector and part, from a codebook."""
+    return f"""(SELECT vec_id, part, min(d * {ENTRIES} + entry) % {ENTRIES} AS entry, min(d) AS d FROM (
+      SELECT vec_id, part, entry, CAST(list_sum(list_transform(range(1, len(p) + 1), lambda j: (p[j] - e[j]) * (p[j] - e[j]))) AS BIGINT) AS d
+      FROM parts JOIN {book} b USING (part)) GROUP BY ALL)"""
+
+
+def _moved(book: str) -> str:
+    """The codebook after every used entry went to the floor of the mean of its parts."""
+    return f"""(SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM {book} b LEFT JOIN (
+      SELECT part, entry, list(v ORDER BY j) AS e FROM (
+        SELECT part, entry, j, CAST((s - ((s % c) + c) % c) // c AS BIGINT) AS v FROM (
+          SELECT a.part, a.entry, j, sum(p[j]) AS s, count(*) AS c
+          FROM {_assigned(book)} a JOIN parts USING (vec_id, part), (SELECT unnest(range(1, (SELECT max(len(p)) FROM parts) + 1)) AS j) GROUP BY ALL))
+      GROUP BY ALL) m USING (part, entry))"""
+
+
+CODES_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, part, v[part * (len(v) // {PARTS}) + 1 : (part + 1) * (len(v) // {PARTS})] AS p
+  FROM kept, (SELECT unnest(range({PARTS})) AS part)),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, p AS e
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {ENTRIES})),
+b1 AS MATERIALIZED (SELECT * FROM {_moved("b0")}),
+b2 AS MATERIALIZED (SELECT * FROM {_moved("b1")}),
+codes AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM {_assigned("b2")} GROUP BY vec_id),
+digest AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), digest"""
+
+
+@query("op13_value_codes", CODES_SQL)
+def op13_value_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded_vectors(table(spark, sf_dir, "embeddings"))
