@@ -11,13 +11,11 @@ kept. The time is linear in the length of a word. Words seen before come from a
 from __future__ import annotations
 
 import json
-import unicodedata
 
 import ahocorasick
 import numpy as np
+from tokenizers.pre_tokenizers import ByteLevel
 
-#: fixed values: the code points of Unicode White_Space
-WHITE = [9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 #: fixed values: endings cut off behind an apostrophe
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 SPACE, LETTER, NUMBER, OTHER, APART = range(5)
@@ -27,11 +25,23 @@ _classes: list[np.ndarray] = []
 
 
 def classes() -> np.ndarray:
-    """Class of every code point; numbers above them, which stand for no text, are each apart."""
+    """Class of every code point; numbers above them, which stand for no text, are each apart.
+
+    Classes are those of the library's own splitter, whatever version of Unicode the interpreter has. The
+    code points behind the first 256 are split as one text: a piece holds neighbours of one class, which
+    is asked for once.
+    """
     if not _classes:
-        kinds = {"L": LETTER, "N": NUMBER}
-        table = np.array([kinds.get(unicodedata.category(chr(i))[0], OTHER) for i in range(0x110000)], np.uint8)
-        table[WHITE] = SPACE
+        split = ByteLevel(add_prefix_space=False).pre_tokenize_str
+
+        def kind(c: str) -> int:
+            return next((k for k, known in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")) if len(split(known + c)) == 1), SPACE)
+
+        table = np.full(0x110000, OTHER, np.uint8)
+        table[:256] = [kind(chr(i)) for i in range(256)]
+        rest = np.array([i for i in range(256, 0x110000) if not 0xD800 <= i < 0xE000])
+        for _, (i, j) in split("".join(map(chr, rest.tolist()))):
+            table[rest[i:j]] = kind(chr(rest[j - 1]))
         _classes.append(np.append(table, np.uint8(APART)))
     return _classes[0]
 

@@ -1,8 +1,8 @@
-"""Words and word shingles of UTF-8 bytes, whole arrays at a time.
+"""Words and word shingles of UTF-8 bytes.
 
-Words are runs of bytes other than 0x20 and 0x09-0x0D, after lower-casing A-Z. The hash of a shingle
-covers its words joined by single blanks: differences of a running polynomial sum modulo 2^64, then
-mixed. A text is worked on in pieces of about a megabyte, so memory does not follow its length.
+Words are runs of bytes other than 0x20 and 0x09-0x0D, after lower-casing A-Z. A word is hashed whole
+(XXH3, 64 bits; words met before come from a bounded table), and the hash of a shingle chains those of its
+words, so it depends on every word and on their order. A text is split in pieces of about a megabyte.
 """
 
 from __future__ import annotations
@@ -10,24 +10,30 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 PIECE = 1 << 20
 WIDTH = 5
-_FACTOR = 0x9E3779B97F4A7C15 | 1
+ROOM = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_powers: list[np.ndarray] = []
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
-        up, down = np.full(size, _FACTOR, np.uint64), np.full(size, pow(_FACTOR, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _powers[:] = [np.cumprod(up), np.cumprod(down)]
-    return _powers[0], _powers[1]
+class _Known(dict):
+    """Hashes of words; forgets all when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= ROOM:
+            self.clear()
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+
+_known = _Known()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -36,34 +42,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _bounds(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.flatnonzero(np.diff(_BLANK[b], prepend=True, append=True))
-    return edge[0::2], edge[1::2]
-
-
-def _piece(b: np.ndarray, width: int) -> tuple[np.ndarray, int, int]:
-    """Hashes of all windows of ``width`` words (of all words, if fewer), word count, start of the last width - 1 words."""
-    start, end = _bounds(b)
-    if not len(start):
-        return np.empty(0, np.uint64), 0, len(b)
-    size = end - start
-    keep = ~_BLANK[b]
-    flat = b.copy()
-    inner = end[:-1]
-    flat[inner] = 32
-    keep[inner] = True
-    flat = flat[keep]
-    at = np.zeros(len(size), np.int64)
-    np.cumsum(size[:-1] + 1, out=at[1:])
-    up, down = _tables(len(flat) + 1)
-    total = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[: len(flat)], out=total[1:])
-    w = min(width, len(size))
-    first, last = at[: len(size) - w + 1], (at + size)[w - 1:]
-    h = (total[last] - total[first]) * down[first]
-    return mix(h + (last - first).astype(np.uint64)), len(size), int(start[max(0, len(start) - width + 1)])
-
-
 def pieces_of(text: bytes, size: int = PIECE) -> Iterator[np.ndarray]:
     """The lower-cased bytes in parts that end between words; a word longer than a part stays whole."""
     b, at = _LOWER[np.frombuffer(text, np.uint8)], 0
@@ -79,23 +57,26 @@ def pieces_of(text: bytes, size: int = PIECE) -> Iterator[np.ndarray]:
         at = end
 
 
+def word_hashes(text: bytes, size: int = PIECE) -> np.ndarray:
+    """Hash of every word in order."""
+    found = [np.empty(0, np.uint64)]
+    for part in pieces_of(text, size):
+        some = part.tobytes().split()
+        found.append(np.fromiter(map(_known.__getitem__, some), np.uint64, len(some)))
+    return np.concatenate(found)
+
+
 def shingles(text: bytes, width: int = WIDTH, size: int = PIECE) -> np.ndarray:
     """Hash of every window of ``width`` words in order; one for all words if there are fewer; none without words."""
-    parts = list(pieces_of(text, size))
-    if len(parts) <= 1:
-        return _piece(parts[0], width)[0] if parts else np.empty(0, np.uint64)
-    found, tail = [], np.empty(0, np.uint8)
-    for i, part in enumerate(parts):
-        b = np.concatenate([tail, part])
-        h, n, at = _piece(b, width)
-        if n >= width:
-            found.append(h)
-            tail = b[at:]
-        elif i + 1 == len(parts) and not found:
-            found.append(h)
-        else:
-            tail = b
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+    h = word_hashes(text, size)
+    if not len(h):
+        return h
+    w = min(width, len(h))
+    n = len(h) - w + 1
+    out = np.full(n, w, np.uint64)
+    for k in range(w):
+        out = mix(out) + h[k:k + n]
+    return mix(out)
 
 
 def shingle_set(text: bytes, width: int = WIDTH) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 Texts become one array of code points with marks between them; words are found and hashed on the whole
 array, and each distinct word is looked up once in a table that a process keeps between batches. The
-table holds two independent 64-bit hashes per word, both of which must agree.
+table holds two independent 64-bit hashes per word, both of which must agree. They are running sums of
+powers for short words; long words, for which such sums can be alike by design, are hashed byte by byte.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import xxhash
 
 from .bpe import split_special, starts_of
 from .text import mix
@@ -19,6 +21,8 @@ from .text import mix
 MARK = 0x110000
 PART = 1 << 20
 ROOM = 400_000
+#: words of more code points are hashed whole
+LONG = 32
 _SAFE = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -64,6 +68,9 @@ class WordTable:
             total = np.zeros(len(code) + 1, np.uint64)
             np.cumsum((code + np.uint32(1)).astype(np.uint64) * up[: len(code)], out=total[1:])
             out.append(mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)))
+        for w in np.flatnonzero(end - start > LONG).tolist():
+            both = xxhash.xxh3_128_intdigest(code[start[w]:end[w]].tobytes())
+            out[0][w], out[1][w] = both >> 64, both & 0xFFFFFFFFFFFFFFFF
         return out
 
     def _find(self, code, start, end) -> tuple[np.ndarray, np.ndarray]:
