@@ -124,12 +124,13 @@ def customer_rollup(
     generic_product: Column | None = None,
     presence: dict[str, Column] | None = None,
     digits: int = 4,
+    last: Column | None = None,
 ) -> DataFrame:
     """One row per customer from invoice lines, in a single partially aggregated shuffle.
 
     Flags come from all lines but the generic ones; sums and dates only from lines that are
     not cancelled; customers with cancelled lines only are left out. ``months_active`` counts
-    from the first order to the last date of the whole input, at least 1. Amounts are summed as
+    from the first order to ``last`` (the last date of the whole input if not given), at least 1. Amounts are summed as
     decimals with ``digits`` places, so a sum does not depend on the order of the rows and may be
     compared with its own quartiles.
     """
@@ -145,7 +146,7 @@ def customer_rollup(
         F.max((known & bad).cast("int")).alias("has_ever_cancelled"),
         F.max((known & F.coalesce(top_product, no)).cast("int")).alias("bought_top_product"),
         exact(amount).alias("_amount"), exact(quantity).alias("_quantity"), *bits.values()))
-    last = rolled.agg(F.max("_last").alias("m")).scalar()
+    last = rolled.agg(F.max("_last").alias("m")).scalar() if last is None else last
     out = rolled.where(F.col(customer).isNotNull() & (F.col("_lines") > 0)).withColumn(
         "months_active", months_between_instants(F.col("_first"), last))
     return out.select(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import running_total
+from .ordering import attach_groups, running_total
 
 
 def one_hot(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
@@ -70,7 +70,7 @@ def frequent_categories(df: DataFrame, column: str, percent: float) -> DataFrame
 
 def rare_to_other(df: DataFrame, column: str, percent: float, name: str, other: str = "OTHERS") -> DataFrame:
     kept = frequent_categories(df, column, percent).withColumn("_keep", F.lit(1))
-    return df.join(kept, column, "left").withColumn(
+    return attach_groups(df, kept, [column], "left").withColumn(
         name, F.when(F.col(column).isNull() | F.col("_keep").isNotNull(), F.col(column)).otherwise(other)).drop("_keep")
 
 
@@ -81,4 +81,4 @@ def label_table(df: DataFrame, column: str, name: str = "code") -> DataFrame:
 
 
 def label_index(df: DataFrame, column: str, name: str = "code") -> DataFrame:
-    return df.join(label_table(df, column, name), column, "left")
+    return attach_groups(df, label_table(df, column, name), [column], "left")

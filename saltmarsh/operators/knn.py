@@ -286,43 +286,44 @@ def codebook_histogram(df: DataFrame, centroids: DataFrame, *, key: str, item: s
     return near.join(df.select(key, item), key).groupBy(item, F.col("neighbor").alias(word)).agg(F.count("*").alias("n"))
 
 
-def silhouette_euclidean(df: DataFrame, key: str, vector: str, label: str, broadcast_bytes: int | None = None) -> DataFrame:
-    """Mean silhouette under plain Euclidean distance for tables small enough to broadcast.
+def silhouette_euclidean(df: DataFrame, key: str, vector: str, label: str, block_rows: int = 4096) -> DataFrame:
+    """Mean silhouette under plain Euclidean distance; -1 with fewer than two labels, 0 for a row alone in its cluster.
 
-    This measure needs the distance of every pair, so it refuses tables beyond the size limit;
-    ``silhouette`` is the linear alternative there. Distances are summed per cluster inside the
-    task; no pair leaves it.
+    The measure needs the distance of every pair of rows. Rows are packed into blocks, every block meets
+    every block once in a grid, and a meeting gives one sum per row and cluster; sums are added up by
+    Spark. Work grows with the square of the rows, as the measure does; memory does not: a task holds two
+    blocks. ``silhouette`` is the linear alternative. Rows with a null label are left out.
     """
     ship_package(df.sparkSession)
-    rows = df.where(F.col(label).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("c"), as_vector(F.col(vector)).alias("vec"))
-    size = rows.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
-    if size["n"] * (size["dim"] or 1) * 8 > (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
-        raise ValueError("too many rows for all pair distances; use silhouette (squared Euclidean)")
-    table = rows.select("c", "vec").toArrow()
-    labels = table.column("c").to_numpy()
-    matrix = np.asarray(table.column("vec").combine_chunks().flatten()).reshape(len(labels), -1)
-    shared = df.sparkSession.sparkContext.broadcast((labels, matrix))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, data = shared.value
-        names, code = np.unique(c, return_inverse=True)
-        sizes = np.bincount(code)
+    rows = durable(df.where(F.col(label).isNotNull()).select(
+        F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("c"), as_vector(F.col(vector)).alias("vec")))
+    blocks = max(1, -(-rows.count() // block_rows))
+    packed = durable(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("block").agg(
+        F.collect_list(F.struct("id", "c", "vec")).alias("rows")))
+    asked = packed.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("rows").alias("asked"))
+    meetings = asked.join(packed, "block").select("asked", "rows")
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def parts(rows):
+            return (np.array([r["id"] for r in rows]), np.array([r["c"] for r in rows]), np.array([r["vec"] for r in rows], dtype=float))
         for pdf in batches:
-            out = []
-            for own, v in zip(pdf["c"], _matrix(pdf["vec"]) if len(pdf) else []):
-                sums = np.bincount(code, weights=_distances(data, v, "euclidean"), minlength=len(names))
-                k = int(np.searchsorted(names, own))
-                if len(names) < 2:
-                    out.append(-1.0)
-                elif sizes[k] < 2:
-                    out.append(0.0)
-                else:
-                    a, b = sums[k] / (sizes[k] - 1), min(sums[j] / sizes[j] for j in range(len(names)) if j != k)
-                    out.append((b - a) / max(a, b) if max(a, b) else 0.0)
-            yield pd.DataFrame({"s": np.array(out, dtype=float)})
-
-    return rows.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
+            for asked_rows, data_rows in zip(pdf["asked"], pdf["rows"]):
+                (ids, own, a), (_, c, b) = parts(asked_rows), parts(data_rows)
+                names, code = np.unique(c, return_inverse=True)
+                member = np.zeros((len(c), len(names)))
+                member[np.arange(len(c)), code] = 1.0
+                for at in range(0, len(a), 256):
+                    some = a[at:at + 256]
+                    total = np.stack([_distances(b, v, "euclidean") for v in some]) @ member
+                    yield pd.DataFrame({"id": np.repeat(ids[at:at + 256], len(names)), "own": np.repeat(own[at:at + 256], len(names)),
+                                        "c": np.tile(names, len(some)), "s": total.ravel()})
+
+    per = meetings.mapInPandas(sums, "id long, own long, c long, s double").groupBy("id", "own", "c").agg(F.sum("s").alias("s"))
+    sizes = rows.groupBy("c").agg(F.count("*").alias("n"))
+    mean = F.col("s") / F.when(F.col("c") == F.col("own"), F.nullif(F.col("n") - 1, F.lit(0))).otherwise(F.col("n"))
+    ends = per.join(sizes, "c").groupBy("id").agg(F.min(F.when(F.col("c") == F.col("own"), mean)).alias("a"), F.min(F.when(F.col("c") != F.col("own"), mean)).alias("b"))
+    one = F.when(F.col("a").isNull(), 0.0).otherwise(F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0)))
+    return ends.agg(F.when(F.max("b").isNull(), F.lit(-1.0)).otherwise(F.avg(one)).alias("silhouette"))
 
 
 def silhouette(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import running_total
+from .ordering import attach_groups, running_total
 from .stats import one_row, quantile_values
 
 
@@ -17,7 +17,7 @@ def _ratio(a: Column, b: Column) -> Column:
 
 def with_group_mean(df: DataFrame, by: str, y: str, name: str = "prediction") -> DataFrame:
     """A baseline prediction: the mean of ``y`` in the row's group."""
-    return df.join(df.groupBy(by).agg(F.avg(y).alias(name)), by)
+    return attach_groups(df.where(F.col(by).isNotNull()), df.groupBy(by).agg(F.avg(y).alias(name)), [by])
 
 
 def rmse_mae(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -120,3 +120,21 @@ def threshold_sweep(df: DataFrame, y: str, score: str, thresholds: Sequence[floa
                         n(hit & (F.col(y) == 0)).alias("fp"), n(~hit & (F.col(y) == 1)).alias("fn"))
     counts = df.agg(F.array(*[one(float(t)) for t in thresholds]).alias("l")).select(F.explode("l").alias("r")).select("r.*")
     return with_scores(counts)
+
+
+def utility_sweep(df: DataFrame, day: Column, weight: Column, resp: Column, score: Column, thresholds: Sequence[float]) -> DataFrame:
+    """Trading utility of acting at each threshold: one pass over the rows gives the daily sums of all thresholds.
+
+    A row per threshold with the number of actions, the total, the capped ratio and the utility; days
+    without an action count as days with a total of 0. No rows give no thresholds.
+    """
+    cuts = [float(t) for t in thresholds]
+    gain = weight * resp
+    daily = df.groupBy(day.alias("_day")).agg(*[F.sum(F.when(score >= t, gain).otherwise(0.0)).alias(f"_p{i}") for i, t in enumerate(cuts)],
+                                              *[F.count_if(score >= t).alias(f"_n{i}") for i, t in enumerate(cuts)])
+    one = daily.select(F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"_p{i}").alias("p"), F.col(f"_n{i}").alias("n"))
+                                           for i, t in enumerate(cuts)])).alias("c")).select("c.*")
+    s = one.groupBy("threshold").agg(F.sum("n").alias("actions"), F.sum("p").alias("p"), F.sum(F.col("p") * F.col("p")).alias("pp"), F.count("*").alias("d"))
+    t = F.coalesce(F.col("p") / F.sqrt(F.nullif(F.col("pp"), F.lit(0.0))) * F.sqrt(250 / F.col("d")), F.lit(0.0))
+    capped = F.least(F.greatest(t, F.lit(0.0)), F.lit(6.0))
+    return s.select("threshold", "actions", "p", t.alias("t"), (capped * F.col("p") + F.lit(0.0)).alias("u"))

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import (PCA, CountVectorizer, MinMaxScaler, StopWordsRemover, VectorAssembler, Word2Vec)
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import CountVectorizer, StopWordsRemover, VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .relational import md5_key
 
 SEED = 42
 
@@ -36,16 +34,6 @@ def save_and_load(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def pca_project(df: DataFrame, k: int, features: str = "features") -> tuple[DataFrame, DataFrame]:
-    """Projection of standardised vectors and the explained-variance share per component."""
-    from pyspark.ml.feature import StandardScaler
-    scaled = StandardScaler(inputCol=features, outputCol="_scaled", withMean=True, withStd=True).fit(df).transform(df)
-    model = PCA(k=k, inputCol="_scaled", outputCol="projection").fit(scaled)
-    ratios = df.sparkSession.createDataFrame(
-        [(i, float(v)) for i, v in enumerate(model.explainedVariance.toArray())], "component int, ratio double")
-    return model.transform(scaled).drop("_scaled"), ratios
-
-
 def kmeans_sweep(df: DataFrame, ks: Sequence[int], features: str = "features", max_iter: int = 20) -> DataFrame:
     """Silhouette (squared Euclidean) and cost per number of clusters."""
     cached = durable(df.select(features))
@@ -78,12 +66,17 @@ def lda_topics(df: DataFrame, words: str, topics: int, vocabulary: int, max_iter
 
 
 def doc_vectors(df: DataFrame, words: str, stop_words: Sequence[str], size: int = 32, max_iter: int = 1,
-                min_count: int = 5, partitions: int | None = None) -> DataFrame:
-    """Mean word vectors per document, stop words removed. Trains on as many partitions as there are slots."""
-    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
+                min_count: int = 5, partitions: int = 8, order: str = "doc_id") -> DataFrame:
+    """Mean word vectors per document, stop words removed.
+
+    Trained on a fixed number of ``partitions``, filled and sorted by ``order``, so training does not follow
+    the size of the cluster or the layout of the table; words of equal frequency may start from each
+    other's random vector. A document without known words has a zero vector.
+    """
     clean = StopWordsRemover(inputCol=words, outputCol="_clean", stopWords=list(stop_words)).transform(df)
+    data = durable(clean.repartition(partitions, order).sortWithinPartitions(order))
     model = Word2Vec(vectorSize=size, minCount=min_count, maxIter=max_iter, seed=SEED, numPartitions=partitions,
-                     inputCol="_clean", outputCol="vector").fit(clean)
+                     inputCol="_clean", outputCol="vector").fit(data)
     return model.transform(clean).drop("_clean")
 
 
@@ -146,19 +139,6 @@ def explain_clusters(assigned: DataFrame, features: str = "features", depth: int
     return assigned.sparkSession.createDataFrame(rows, "component int, importance double")
 
 
-def logistic_stack(df: DataFrame, columns: Sequence[str], y: str, fold: str, n_folds: int) -> DataFrame:
-    """Logistic coefficients per fold and their average (fold -1)."""
-    data = durable(assemble(df, columns).select("features", y, fold))
-    rows = []
-    for f in range(n_folds):
-        model = LogisticRegression(labelCol=y, maxIter=20).fit(data.where(F.col(fold) == f))
-        rows.append((f, *[float(c) for c in model.coefficients], float(model.intercept)))
-    width = len(columns) + 1
-    rows.append((-1, *[sum(r[i + 1] for r in rows) / len(rows) for i in range(width)]))
-    schema = ", ".join(["fold int", *[f"{c} double" for c in columns], "intercept double"])
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
 def meta_stack(split: DataFrame, columns: Sequence[str], y: str, fold: int, trees: int = 5) -> DataFrame:
     """Base model on train; its probability is a feature of the meta model fitted on val; scored on test."""
     one = durable(assemble(split.where(F.col("fold") == fold), columns))
@@ -169,83 +149,12 @@ def meta_stack(split: DataFrame, columns: Sequence[str], y: str, fold: int, tree
     return probability(meta, assemble(test, [*columns, "p_base"]), "p_meta").drop("features")
 
 
-def multilabel_bayes(df: DataFrame, features: str, labels: Sequence[str], key: str) -> DataFrame:
-    """One naive-Bayes classifier per label on min-max-scaled features: ``(key, label, p)``."""
-    scaled = MinMaxScaler(inputCol=features, outputCol="_f").fit(df).transform(df)
-    scaled = durable(scaled.select(key, "_f", *labels))
-    out = None
-    for label in labels:
-        known = scaled.where(F.col(label).isNotNull())
-        model = NaiveBayes(featuresCol="_f", labelCol=label).fit(known)
-        one = probability(model, scaled, "p").select(key, F.lit(label).alias("label"), "p")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-def impute_chained(df: DataFrame, columns: Sequence[str], rounds: int = 10) -> DataFrame:
-    """Fill nulls by repeated least-squares regression of each column on the others, from the means.
-
-    In a row with a given set of nulls every filled value stays an affine function of the row's own
-    observed values, so all rounds need only the product sums per null pattern. Spark computes
-    those in one pass; the rounds then run on matrices of the size of the column list, and the
-    fills are one projection. Patterns: at most 2**columns, each a handful of numbers.
-    """
-    p = len(columns)
-    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-    mean = [float(stats[f"m{i}"] or 0.0) for i in range(p)]
-    width = [float(stats[f"s{i}"] or 1.0) or 1.0 for i in range(p)]
-    z = [F.lit(1.0)] + [F.coalesce((F.col(c) - mean[i]) / width[i], F.lit(0.0)) for i, c in enumerate(columns)]
-    pattern = sum((F.col(c).isNull().cast("long") * (1 << i) for i, c in enumerate(columns)), F.lit(0))
-    sums = df.groupBy(pattern.alias("pattern")).agg(*[
-        F.sum(z[a] * z[b]).alias(f"g{a}_{b}") for a in range(p + 1) for b in range(a, p + 1)]).collect()
-    gram, fill = {}, {}
-    for row in sums:
-        s = int(row["pattern"])
-        gram[s] = np.array([[row[f"g{min(a, b)}_{max(a, b)}"] for b in range(p + 1)] for a in range(p + 1)])
-        fill[s] = np.eye(p + 1)
-        for i in range(p):
-            if s >> i & 1:
-                fill[s][i + 1] = 0.0  # the mean, in standardised units
-    for _ in range(rounds):
-        for i in range(p):
-            holes = [s for s in fill if s >> i & 1]
-            others = [a for a in range(p + 1) if a != i + 1]
-            known = sum((fill[s] @ gram[s] @ fill[s].T for s in fill if not s >> i & 1), np.zeros((p + 1, p + 1)))
-            if holes:
-                w = np.linalg.lstsq(known[np.ix_(others, others)], known[others, i + 1], rcond=None)[0]
-                for s in holes:
-                    fill[s][i + 1] = w @ fill[s][others]
-    out = {}
-    for i, c in enumerate(columns):
-        value = F.col(c).cast("double")
-        for s in (s for s in fill if s >> i & 1):
-            guess = sum((z[a] * float(fill[s][i + 1][a]) for a in range(1, p + 1) if not s >> (a - 1) & 1),
-                        F.lit(float(fill[s][i + 1][0])))
-            value = F.when(pattern == s, guess * width[i] + mean[i]).otherwise(value)
-        out[c] = value
-    return df.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])
-
-
-def grid_search(df: DataFrame, columns: Sequence[str], y: str, regs: Sequence[float], mixes: Sequence[float],
-                folds: int = 5, parallelism: int = 4) -> DataFrame:
-    """Mean and deviation of the cross-validated AUC per parameter pair."""
-    data = durable(assemble(df, columns).select("features", y))
-    lr = LogisticRegression(labelCol=y, maxIter=10)
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(regs)).addGrid(lr.elasticNetParam, list(mixes)).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=folds, seed=SEED, parallelism=parallelism,
-                        evaluator=BinaryClassificationEvaluator(labelCol=y))
-    model = cv.fit(data)
-    rows = [(float(g[lr.regParam]), float(g[lr.elasticNetParam]), float(m), float(s))
-            for g, m, s in zip(grid, model.avgMetrics, model.stdMetrics)]
-    return df.sparkSession.createDataFrame(rows, "reg double, elastic double, mean_score double, std_score double")
-
-
 def fit_pipeline(df: DataFrame, stages) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(df)
 
 
-def baseline_random(df: DataFrame, key: str, prior: float, seed: int = SEED) -> DataFrame:
-    """A random 0/1 action with the given prior, repeatable per row key."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / 1e6
-    return df.withColumn("action", (draw < prior).cast("int"))
+def baseline_random(df: DataFrame, key: str, y: str, name: str = "action", seed: int = SEED) -> DataFrame:
+    """A random 0/1 action that is as frequent as class 1 is in the data, repeatable per row key on any cluster."""
+    share = df.agg(F.avg(F.col(y).cast("double")).alias("p")).scalar()
+    draw = F.conv(F.substring(md5_key(key, seed), 1, 7), 16, 10).cast("double") / float(16**7)
+    return df.withColumn(name, (draw < share).cast("int"))

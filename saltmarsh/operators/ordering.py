@@ -49,6 +49,22 @@ def join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str
     return df.join(renamed, same, how).drop(*[f"__key_{k}" for k in keys])
 
 
+#: groups up to this number of rows are sent to all tasks; counted before the join
+SMALL_GROUPS = 100_000
+
+
+def attach_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """As ``join_groups``, without moving ``df`` where the groups are few.
+
+    The groups are stored and counted first: up to ``SMALL_GROUPS`` rows they are broadcast, so a key that
+    holds a third of the rows of ``df`` never meets in one task. More groups are joined by key, where
+    adaptive execution splits the hot ones.
+    """
+    groups = durable(groups)
+    small = groups.limit(SMALL_GROUPS + 1).count() <= SMALL_GROUPS
+    return join_groups(df, F.broadcast(groups) if small else groups, keys, how)
+
+
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
     """``df`` plus its 0-based position in ``order`` (which must be a total order)."""
     return with_index(lay_out(df, order), name).drop(PART, POS)

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .ordering import PART, POS, group_row_index, join_groups, lay_out, nearest_mark, row_index, with_index
+from .ordering import PART, POS, attach_groups, group_row_index, join_groups, lay_out, nearest_mark, row_index, with_index
 from .relational import md5_key
 from .stats import one_row
 
 BLOCK = 256  # rows per block, and maps composed at once
 STRETCH = 300.0  # exp(STRETCH) is far from overflow
+APART = 4096  # more stretches than the decay of one block can make
 
 
 def _fold(maps: Column, k: int) -> Column:
@@ -62,7 +63,8 @@ def ema(
 
     Each row is an affine map of the value carried in. Maps are composed per block of a global sort, blocks
     level by level, and the carried value is applied at the end; one very long series is spread over many
-    tasks. Where the decay inside a block passes ``exp(-STRETCH)``, a new stretch starts.
+    tasks. Where the decay inside a block passes ``exp(-STRETCH)``, or a row forgets all before it, a new
+    stretch starts.
     """
     if any(s < 1 for s in spans):
         raise ValueError("spans must be at least 1")
@@ -81,10 +83,13 @@ def ema(
         old = F.pow(F.lit(d), F.col("_gap") + 1)
         rows = rows.withColumn(f"_mul{k}", F.when(~has, F.lit(1.0)).when(first, F.lit(0.0)).otherwise(old / (old + (1 - d))))
         rows = rows.withColumn(f"_add{k}", F.when(~has, F.lit(0.0)).when(first, F.col(value)).otherwise(F.col(value) * (1 - d) / (old + (1 - d))))
-    logs = [F.log(F.greatest(F.col(f"_mul{k}"), F.lit(1e-300))) for k in range(n)]
+    logs = [F.when(F.col(f"_mul{k}") == 0, 0.0).otherwise(F.log(F.greatest(F.col(f"_mul{k}"), F.lit(1e-300)))) for k in range(n)]
+    forgets = F.lit(False)
+    for k in range(n):
+        forgets = forgets | (F.col(f"_mul{k}") == 0)
     whole = Window.partitionBy(*by, PART, *reversed(levels)).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.select("*", *[F.sum(c).over(whole).alias(f"_log{k}") for k, c in enumerate(logs)],
-                       F.floor(F.sum(F.least(*logs) if n > 1 else logs[0]).over(whole) / -STRETCH).alias("_stretch"))
+                       (F.floor(F.sum(F.least(*logs) if n > 1 else logs[0]).over(whole) / -STRETCH) + F.count_if(forgets).over(whole) * APART).alias("_stretch"))
     seg = [*by, PART, *reversed(levels), "_stretch"]
     inside = Window.partitionBy(*seg).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     for k in range(n):  # relative to the first row of the stretch, whose own map may forget everything
@@ -182,7 +187,7 @@ def purged_group_split(
         first = F.greatest(F.lit(0), start - group_gap - max_train_groups) if max_train_groups else F.lit(0)
         return [("train", first, start - group_gap), ("test", start, start + size)]
 
-    split = df.join(_roles(groups, group, n_splits, ranges), group)
+    split = attach_groups(df, _roles(groups, group, n_splits, ranges), [group])
     return _drop_head(split, order, {"test": group_gap if drop_head_rows is None else drop_head_rows})
 
 
@@ -202,7 +207,7 @@ def purged_stacking_split(
         train = F.greatest(F.lit(0), val - val_gap - max_train_groups)
         return [("train", train, val - val_gap), ("val", val, test - test_gap), ("test", test, test + size)]
 
-    split = df.join(_roles(groups, group, n_splits, ranges), group)
+    split = attach_groups(df, _roles(groups, group, n_splits, ranges), [group])
     return _drop_head(split, order, {"val": val_gap, "test": test_gap})
 
 

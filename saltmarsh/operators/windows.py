@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import join_groups, previous_value, running_total
+from .ordering import attach_groups, previous_value, running_total
 
 
 def attach_counts(df: DataFrame, counts: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -18,7 +18,7 @@ def attach_counts(df: DataFrame, counts: Mapping[str, Sequence[str]]) -> DataFra
     """
     out = df
     for name, by in counts.items():
-        out = join_groups(out, df.groupBy(*by).agg(F.count("*").alias(name)), by)
+        out = attach_groups(out, df.groupBy(*by).agg(F.count("*").alias(name)), by)
     return out
 
 
@@ -61,7 +61,7 @@ def rank_table(df: DataFrame, category: str, target: str) -> DataFrame:
 def rank_encode(df: DataFrame, category: str, target: str, name: str) -> DataFrame:
     """Category replaced by its rank; categories unseen at fit give null."""
     dim = rank_table(df, category, target).select(category, F.col("rank").alias(name))
-    return df.join(dim, category, "left")
+    return attach_groups(df, dim, [category], "left")
 
 
 def top_value_flag(df: DataFrame, key: str, value: Column, n: int, name: str) -> DataFrame:

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ..functions.numbers import sigmoid, three_way, tidy
 from ..operators import knn
 from ..operators import metrics as met
+from ..operators.linear import weighted_line
+from ..operators.ordering import attach_groups
 from ..session import scratch_path
 from ..sources import table
 from ..streaming.scoring import stream_score as score_stream
@@ -32,6 +34,19 @@ def residual_weights(spark, sf):
     return w.select("l_orderkey", "l_linenumber", "l_partkey", tidy("weight", 6).alias("weight"))
 
 
+@query("residual_refit", RESIDUAL_SQL + f""", w AS (SELECT y, l_partkey, l_quantity AS x, ((SELECT max(a) FROM e) - a) / (SELECT max(a) FROM e) AS w
+  FROM e JOIN lineitem USING (l_orderkey, l_linenumber, l_partkey) WHERE ((SELECT max(a) FROM e) - a) / (SELECT max(a) FROM e) > 0.5),
+s AS (SELECT count(*) AS n, sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM w),
+f AS (SELECT n, (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS slope, sw, sx, sy FROM s)
+SELECT n, {rnd('slope', 4)} AS slope, {rnd('(sy - slope * sx) / sw', 3)} AS intercept FROM f""")
+def residual_refit(spark, sf):
+    """A line fitted anew to the rows with small residuals, weighted by how small they are."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    kept = met.residual_weights(predicted(spark, sf), "l_extendedprice", "prediction", 0.5)
+    fit = weighted_line(kept.join(table(spark, sf, "lineitem").select(*keys, "l_quantity"), keys), "l_quantity", "l_extendedprice", "weight")
+    return fit.select("n", tidy("slope", 4).alias("slope"), tidy("intercept", 3).alias("intercept"))
+
+
 CUT_SQL = RESIDUAL_SQL + ", q AS (SELECT quantile_cont(a, 0.8) AS c FROM e)"
 
 
@@ -213,3 +228,27 @@ def stream_score(spark, sf):
         return df.select("event_id", tidy(p, 6).alias("p"), three_way(p, 0.7).alias("action"))
 
     return score_stream(spark, folder, events.schema, score)
+
+
+@query("threshold_utility", f"""
+WITH m AS (SELECT event_type, avg(value) AS a FROM events GROUP BY 1),
+e AS (SELECT CAST(ts AS DATE) AS day, CASE WHEN event_type = 'purchase' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END * (value - a) AS g, value / 100.0::DOUBLE AS p FROM events JOIN m USING (event_type)),
+k AS (SELECT CAST(unnest({SWEEP}) AS DOUBLE) AS threshold),
+d AS (SELECT threshold, day, sum(CASE WHEN p >= threshold THEN g ELSE 0 END) AS s, count(*) FILTER (p >= threshold) AS n FROM e, k GROUP BY 1, 2),
+s AS (SELECT threshold, sum(n) AS actions, sum(s) AS p, sum(s * s) AS pp, count(*) AS d FROM d GROUP BY 1),
+t AS (SELECT *, CASE WHEN pp = 0 THEN 0 ELSE p / sqrt(pp) * sqrt(250.0::DOUBLE / d) END AS t FROM s)
+SELECT threshold, CAST(actions AS BIGINT) AS actions, {rnd('p', 4)} AS p, {rnd('t')} AS t, {rnd('least(greatest(t, 0), 6) * p', 4)} AS u FROM t""")
+def threshold_utility(spark, sf):
+    """Utility of acting at each threshold of the score."""
+    events = table(spark, sf, "events")
+    rows = attach_groups(events, events.groupBy("event_type").agg(F.avg("value").alias("a")), ["event_type"])
+    u = met.utility_sweep(rows, F.to_date("ts"), F.when(F.col("event_type") == "purchase", 2.0).otherwise(1.0), F.col("value") - F.col("a"),
+                          F.col("value") / 100.0, SWEEP)
+    return u.select("threshold", "actions", tidy("p", 4).alias("p"), tidy("t", 6).alias("t"), tidy("u", 4).alias("u"))
+
+
+@query("silhouette_euclidean")
+def silhouette_euclidean(spark, sf):
+    """Mean silhouette of the embeddings' labels under plain Euclidean distance."""
+    s = knn.silhouette_euclidean(table(spark, sf, "embeddings"), "vec_id", "embedding", "label")
+    return s.select(tidy("silhouette", 6).alias("silhouette"))

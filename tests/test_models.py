@@ -23,7 +23,8 @@ def test_probabilities_are_probabilities(spark, sf):
 
 
 def test_pca_explains_at_most_everything(spark, sf):
-    assert 0 < QUERIES["pca_project"](spark, sf).first()["explained"] <= 1 + 1e-9
+    row = QUERIES["pca_project"](spark, sf).first()
+    assert 0 < row["ratio2"] <= row["ratio1"] < 1 and row["ratio1"] + row["ratio2"] == pytest.approx(1, abs=1e-5)
 
 
 def test_saved_pipeline_scores_alike(spark, sf):

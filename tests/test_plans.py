@@ -13,7 +13,7 @@ def plan(df):
 
 
 PYTHON_ALLOWED = {"knn_join", "knn_join_manhattan", "nn_label_transfer", "cosine_top_n", "reco_lookup", "knn_multilabel", "knn_regress",
-                  "codebook_histogram", "classification_report", "support_vs_precision", "confusion_matrix", "misclassified_pairs"}
+                  "codebook_histogram", "classification_report", "pca_project", "impute_regression", "support_vs_precision", "confusion_matrix", "misclassified_pairs"}
 FAST = ["filter_expr", "lookup_join", "semi_join_isin", "anti_join", "chi2_contributions", "crosstab_margins", "window_count", "standard_scale",
         "filter_outliers_quantile", "pair_similarity", "threshold_sweep", "tokenize_counts", "bag_of_words", "silhouette", "top_n_per_group",
         "ema", "nearest_join", "purged_group_split", "split_stratified", "customer_rollup", "rfm_score", "pairwise_distance"]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from saltmarsh.functions import dates, numbers, text
-from saltmarsh.operators import aggregate, encode, knn, metrics, models, ordering, relational, scale, stats, timeseries, windows
+from saltmarsh.operators import aggregate, encode, knn, linear, metrics, ordering, relational, scale, stats, timeseries, windows
 
 
 def one(df, column):
@@ -218,7 +218,7 @@ def test_impute_chained_equals_row_by_row(spark):
     holes[::6, 0] = np.nan
     rows = [(i, *[None if math.isnan(v) else float(v) for v in r]) for i, r in enumerate(holes)]
     df = spark.createDataFrame(rows, "i int, a double, b double, c double")
-    got = np.array([[r["a"], r["b"], r["c"]] for r in models.impute_chained(df, ["a", "b", "c"], rounds=5).orderBy("i").collect()])
+    got = np.array([[r["a"], r["b"], r["c"]] for r in linear.impute_chained(df, ["a", "b", "c"], rounds=5).orderBy("i").collect()])
     want, missing = holes.copy(), np.isnan(holes)
     for j in range(3):
         want[missing[:, j], j] = np.nanmean(holes[:, j])
@@ -263,9 +263,9 @@ def test_euclidean_silhouette_equals_brute_force(spark):
         mean = lambda k: [math.dist(v, w) for j, w, d in rows if d == k and j != i]  # noqa: B023,E731
         a, b = np.mean(mean(c)), min(np.mean(mean(k)) for k in range(3) if k != c)
         total += (b - a) / max(a, b)
-    assert knn.silhouette_euclidean(df, "id", "v", "c").first()["silhouette"] == pytest.approx(total / 60)
-    with pytest.raises(ValueError):
-        knn.silhouette_euclidean(df, "id", "v", "c", broadcast_bytes=10)
+    for rows_per_block in (4096, 7):
+        assert knn.silhouette_euclidean(df, "id", "v", "c", rows_per_block).first()["silhouette"] == pytest.approx(total / 60)
+    assert knn.silhouette_euclidean(df.where("c = 1"), "id", "v", "c").first()["silhouette"] == -1.0
 
 
 def test_peek_line(spark, tmp_path):
