@@ -84,28 +84,32 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     some = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     named = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("null"))
-    keyed = some.select(F.unhex(F.sha2(F.concat(named, F.lit(":"), F.sha2("text", 256)), 256)).alias("key"), "doc_id", "text")
+    digest = F.unhex(F.substring(F.sha2(F.concat(named, F.lit(":"), F.sha2("text", 256)), 256), 1, 32))
+    keyed = some.select(digest.alias("key"), "doc_id", "text")
     known = stored(lexicon(some), "lexicon")
 
-    order = keyed.select("key", "doc_id", F.length("text").alias("n")).distinct()
+    order = keyed.groupBy("key", "doc_id", F.length("text").alias("n")).agg(F.count("*").alias("copies"))
     order = previous_value(order, [], [F.col("doc_id").desc_nulls_last(), F.desc("key")], "key", None, "next_key")
     first = order.agg(F.min_by("key", F.struct("doc_id", "key"))).scalar()
-    order = order.select("key", F.coalesce("next_key", first).alias("next_key"), (F.col("n") / 4).cast("int").alias("quarter"))
-
-    rows = keyed.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("copies"))
-    heads = order.join(rows.select(F.col("key").alias("next_key"), "text"), "next_key").select(
-        "key", F.expr("left(text, quarter)").alias("head"), "quarter")
-    both = rows.join(heads, "key").withColumn("n_chars", F.length("text").cast("long")).withColumn(
-        "edited", F.concat(F.expr("left(text, cast(n_chars as int) - quarter)"), "head"))
+    order = order.select("key", "copies", F.coalesce("next_key", first).alias("next_key"), (F.col("n") / 4).cast("int").alias("quarter"))
+
+    # one struct, so that both readers ask for the same columns and share one shuffle of the texts
+    rows = keyed.groupBy("key").agg(F.first(F.struct("doc_id", "text")).alias("own"))
+    heads = order.join(rows.select(F.col("key").alias("next_key"), F.col("own").alias("next")), "next_key").select(
+        "key", F.expr("left(next.text, quarter)").alias("head"), "quarter", "copies")
+    both = rows.join(heads, "key").select("key", "own.doc_id", "own.text", "copies", F.length("own.text").cast("long").alias("n_chars"),
+                                          F.concat(F.expr("left(own.text, length(own.text) - quarter)"), "head").alias("edited"))
     row = F.struct("doc_id", "copies", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
     none, no_row = F.lit(None).cast("long"), F.lit(None).cast("struct<doc_id:%s,copies:bigint,n_chars:bigint,edited_sha256:string>"
                                                               % some.schema["doc_id"].dataType.simpleString())
     entry = lambda side, h, r: F.struct(F.lit(side).alias("side"), h.alias("h"), r.alias("row"))
-    entries = both.select("key", F.explode(F.concat(
-        F.array(entry(0, none, row)), F.transform(terms(F.col("text")), lambda h: entry(1, h, no_row)),
-        F.transform(terms(F.col("edited")), lambda h: entry(2, h, no_row)))).alias("e")).select("key", "e.side", "e.h", "e.row")
+    sides = both.withColumn("t1", terms(F.col("text"))).withColumn("t2", terms(F.col("edited")))
+    entries = sides.select("key", F.explode(F.concat(
+        F.array(entry(0, none, row)), F.transform(F.array_intersect("t1", "t2"), lambda h: entry(3, h, no_row)),
+        F.transform(F.array_except("t1", "t2"), lambda h: entry(1, h, no_row)),
+        F.transform(F.array_except("t2", "t1"), lambda h: entry(2, h, no_row)))).alias("e")).select("key", "e.side", "e.h", "e.row")
     entries = entries.join(F.broadcast(known.withColumn("known", F.lit(True))), "h", "left")
-    lists = [F.sort_array(F.collect_list(F.when((F.col("side") == side) & (F.col("known") if band else F.lit(True)), F.col("h")))).alias(f"{name}{side}")
+    lists = [F.sort_array(F.collect_list(F.when((F.col("side").bitwiseAND(side) != 0) & (F.col("known") if band else F.lit(True)), F.col("h")))).alias(f"{name}{side}")
              for side in (1, 2) for name, band in (("all", False), ("band", True))]
     texts = entries.groupBy("key").agg(F.first("row", ignorenulls=True).alias("row"), *lists)
     for side in (1, 2):
