@@ -23,7 +23,8 @@ knn_join cosine_top_n group_agg count_distinct describe_skew quantiles_exact box
 customer_rollup rfm_score customer_value_report utility_score duplicates_report window_count cumulative_share_pareto lag_fill
 ema macd top_n_per_group purged_group_split expanding_time_split minibatch_ranges top_k split_stratified distinct_rows
 text_normalize html_to_text tokenize_counts boxcox bag_of_words rare_to_other standard_scale rmse_mae threshold_sweep roc_auc
-silhouette impute_chained stream_score
+silhouette impute_chained stream_score pca_project multilabel_fit impute_regression residual_refit threshold_utility rank_encode_fitted
+bag_of_words_fitted fill_scale_fitted rfm_fitted out_of_fold
 """.split()
 
 

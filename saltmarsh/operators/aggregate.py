@@ -67,7 +67,7 @@ def chi2_contributions(df: DataFrame, a: str, b: str) -> DataFrame:
     full = full.withColumn("expected", expected).withColumn(
         "part", F.pow(F.col("obs") - F.col("expected"), 2) / F.col("expected"))
     chi2 = full.agg(F.sum("part").alias("x")).scalar()
-    return full.select(a, b, "obs", "expected", (F.col("part") / chi2).alias("share"))
+    return full.select(a, b, "obs", "expected", (F.col("part") / F.nullif(chi2, F.lit(0.0))).alias("share"))
 
 
 def boxplot_stats(df: DataFrame, by: str, value: str) -> DataFrame:

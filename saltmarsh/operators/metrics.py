@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
 from .ordering import attach_groups, running_total
 from .stats import one_row, quantile_values
 
@@ -35,7 +36,7 @@ def residual_weights(df: DataFrame, y: str, p: str, threshold: float) -> DataFra
 def error_cut(df: DataFrame, y: str, p: str, percent: float, threshold: float) -> DataFrame:
     """Around the ``percent`` quantile of the absolute error: mean of the best and of the worst errors
     and the percentage of the best ones below ``threshold``."""
-    errors = df.select(F.abs(F.col(y) - F.col(p)).alias("e"))
+    errors = durable(df.select(F.abs(F.col(y) - F.col(p)).alias("e")))  # read once per pass below
     (cut,) = quantile_values(errors, "e", [percent])
     best = F.col("e") <= cut
     return errors.agg(
