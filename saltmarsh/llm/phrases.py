@@ -6,10 +6,10 @@ grams are added up, so a gram's count is the flow through it, and the count of a
 out of its node (the longer grams that begin with it) plus its own entries, the piece-end corrections.
 Counts of three, two and one words follow from each other this way; no text is read again for them.
 
-A candidate needs ``least`` occurrences, so all its words and word pairs have as many. Words and pairs
-that have fewer end a piece before the grams are made: this changes no count that matters. They are told
-apart by two bit sets of a fixed size that the workers get, filled with hashes; a collision only lets a
-gram through that the exact counts drop later.
+A candidate needs ``least`` occurrences, so all its words, pairs and triples have as many. Those that
+have fewer end a piece before the edges are made: this changes no count that matters. They are told apart by
+bit sets of a fixed size that the workers get, filled from counts of hashes; a collision only lets a gram
+through that the exact counts drop later.
 
 A node with one edge in and one out that carry all of its flow is passed straight: such nodes are
 compacted into unary paths, whose inner nodes share the flow of their edges. An inner node is never
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,8 +32,10 @@ from .shared import ship, stored
 from .text import mix
 
 LEAST, TOP, LONGEST, COVER_PERCENT, SCORE = 30, 2000, 4, 80, 2_000_000
-#: bits of each of the two sets that the workers get (8 MB), whatever the corpus
+#: bits of each of the three sets that the workers get (8 MB), whatever the corpus
 FILTER_BITS = 26
+#: hashed grams are counted in shards of 2 ** LOW counters; a task sends them on in lots
+LOW, LOT = 22, 1 << 22
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _CLEAN = bytes.maketrans(bytes(range(65, 91)) + _ENDS + b"\t", bytes(range(97, 123)) + b"\n" * len(_ENDS) + b" ")
 END = b"\n"
@@ -50,10 +53,19 @@ class Stream:
         seed = xxhash.xxh3_64_intdigest(lang)
         self.hash = np.fromiter((xxhash.xxh3_64_intdigest(w, seed=seed) for w in self.words), np.uint64, len(ids))
 
-    def pair_hash(self) -> np.ndarray:
-        """Of every position and the next one."""
+    def gram_hash(self, size: int) -> np.ndarray:
+        """Of the ``size`` words from every position on."""
         h = self.hash[self.at]
-        return mix(mix(h[:-1]) + h[1:])
+        out = h
+        for k in range(1, size):
+            out = mix(out[:-1]) + h[k:]
+        return mix(out)
+
+    def good(self, words: np.ndarray) -> np.ndarray:
+        """Positions of words that the set of frequent words holds."""
+        some = _has(words, self.hash)
+        some[0] = False
+        return some[self.at]
 
 
 def streams(batch) -> Iterator[Stream]:
@@ -73,74 +85,143 @@ def _words(batches):
             (some,) = np.nonzero(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([s.lang] * len(some), pa.string()), pa.array([s.words[i].decode() for i in some], pa.string()),
-                 pa.array(s.hash[some].view(np.int64)), pa.array(n[some].astype(np.int64))], ["lang", "word", "h", "n"])
+                 pa.array(n[some].astype(np.int64))], ["lang", "word", "n"])
 
 
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    place = h & np.uint64((1 << FILTER_BITS) - 1)
+    place = h >> np.uint64(64 - FILTER_BITS)
     return (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _pairs(words):
+def _bits(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the 64-bit words of a bit set, and their bits."""
+    at, where = np.unique(place >> np.uint64(6), return_inverse=True)
+    out = np.zeros(len(at), np.uint64)
+    np.bitwise_or.at(out, where, np.uint64(1) << (place & np.uint64(63)))
+    return at.astype(np.int64), out.view(np.int64)
+
+
+def _word_bits(batches):
+    for batch in batches:
+        h = [xxhash.xxh3_64_intdigest(w, seed=xxhash.xxh3_64_intdigest(lang))
+             for lang, w in zip(batch.column("lang").to_pylist(), batch.column("word").to_pylist())]
+        at, bits = _bits(np.array(h, np.uint64) >> np.uint64(64 - FILTER_BITS))
+        yield pa.RecordBatch.from_arrays([pa.array([1] * len(at), pa.int32()), pa.array(at), pa.array(bits)], ["size", "i", "b"])
+
+
+class _Counts:
+    """Counts of 32-bit hashes of one gram size, sent on as shards of packed numbers: count above, low bits below."""
+
+    def __init__(self, size: int):
+        self.size, self.lots, self.held = size, [], 0
+
+    def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.lots.append(np.unique((h >> np.uint64(32)).astype(np.uint32), return_counts=True))
+        self.held += len(self.lots[-1][0])
+        if self.held >= LOT:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        keys, n = (np.concatenate(x) for x in zip(*self.lots))
+        self.lots, self.held = [], 0
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.diff(keys, prepend=np.uint32(~keys[0])))
+        n = np.minimum(np.add.reduceat(n, first), (1 << 32 - LOW) - 1).astype(np.uint32)
+        keys = keys[first]
+        packed = n << np.uint32(LOW) | keys & np.uint32((1 << LOW) - 1)
+        shards, at = np.unique(keys >> np.uint32(LOW), return_index=True)
+        ends = [*at[1:].tolist(), len(keys)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([self.size] * len(shards), pa.int32()), pa.array(shards.astype(np.int32)),
+             pa.array([packed[i:j].tobytes() for i, j in zip(at.tolist(), ends)], pa.binary())], ["size", "shard", "data"])
+
+
+def _hashed_grams(words):
+    """Counts of the hashes of all pairs and triples of frequent words."""
     def run(batches):
+        counts = [_Counts(2), _Counts(3)]
         for batch in batches:
             for s in streams(batch):
-                good = _has(words.value, s.hash)
-                good[0] = False
-                both = good[s.at[:-1]] & good[s.at[1:]]
-                h, n = np.unique(s.pair_hash()[both], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+                run = s.good(words.value)
+                for c in counts:
+                    run = run[:-1] & s.good(words.value)[c.size - 1:]
+                    yield from c.add(s.gram_hash(c.size)[run])
+        for c in counts:
+            yield from c.flush()
+    return run
+
+
+def _frequent(least: int):
+    """The bits of the hashes that were counted ``least`` times, from shards in order."""
+    def run(batches):
+        now, count = None, None
+
+        def flush():
+            if now is not None:
+                key = np.flatnonzero(count >= least).astype(np.uint64) | np.uint64(now[1] << LOW)
+                at, bits = _bits(np.unique(key >> np.uint64(32 - FILTER_BITS)))
+                yield pa.RecordBatch.from_arrays([pa.array([now[0]] * len(at), pa.int32()), pa.array(at), pa.array(bits)], ["size", "i", "b"])
+
+        for batch in batches:
+            for size, shard, data in zip(*(batch.column(c).to_pylist() for c in ("size", "shard", "data"))):
+                if (size, shard) != now:
+                    yield from flush()
+                    now, count = (size, shard), np.zeros(1 << LOW, np.int32)
+                packed = np.frombuffer(data, np.uint32)
+                at = packed & np.uint32((1 << LOW) - 1)  # no number twice in a lot
+                count[at] = np.minimum(count[at], 1 << 30) + (packed >> np.uint32(LOW)).astype(np.int32)
+        yield from flush()
     return run
 
 
-def longest_grams(s: Stream, words: np.ndarray, pairs: np.ndarray, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+def _filters(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Per gram size a bit set, from rows (size, i, b); at most 2 ** (FILTER_BITS - 6) numbers each reach the driver."""
+    longs = rows.groupBy("size", "i").agg(F.bit_or("b").alias("b")).toArrow()
+    out = {}
+    for size in (1, 2, 3):
+        some = longs.filter(pa.compute.equal(longs.column("size"), size))
+        out[size] = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        out[size][some.column("i").to_numpy()] = some.column("b").to_numpy().view(np.uint64)
+    return out
+
+
+def longest_grams(s: Stream, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct longest grams (rows of word numbers, 0 behind a shorter one) and how often each occurs."""
-    good = _has(words, s.hash)
-    good[0] = False
-    here = good[s.at]
-    joined = here[:-1] & here[1:] & _has(pairs, s.pair_hash())
-    at = s.at
-    grams = np.zeros((len(at), longest), np.int64)
-    alive = here.copy()
-    for k in range(longest):
-        grams[: len(at) - k, k] = np.where(alive[: len(at) - k], at[k:], 0)
-        if k + 1 < longest:
-            alive[: len(at) - k - 1] &= joined[k:]
-            alive[max(0, len(at) - k - 1):] = False
-    grams = grams[here]
+    n = len(s.at)
+    ok = [s.good(words)]
+    for size, bits in ((2, pairs), (3, triples)):
+        ok.append(ok[-1][:-1] & ok[-1][1:] & _has(bits, s.gram_hash(size)))
+    ok.append(ok[-1][:-1] & ok[-1][1:])
+    grams = np.zeros((n, LONGEST), np.int64)
+    for k, some in enumerate(ok):
+        grams[: n - k, k] = np.where(some, s.at[k:], 0)
+    grams = grams[ok[0]]
     if not len(grams):
         return grams, np.empty(0, np.int64)
     key = np.zeros(len(grams), np.int64)
-    for k in range(longest):  # the number of the distinct prefix, then the next word
+    for k in range(LONGEST):  # the number of the distinct prefix, then the next word
         _, key = np.unique(key * (len(s.words) + 1) + grams[:, k], return_inverse=True)
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    return grams[first], n.astype(np.int64)
+    _, first, count = np.unique(key, return_index=True, return_counts=True)
+    return grams[first], count.astype(np.int64)
 
 
-def _edges(words, pairs):
+def _edges(filters):
     def run(batches):
         for batch in batches:
             for s in streams(batch):
-                grams, n = longest_grams(s, words.value, pairs.value)
+                grams, n = longest_grams(s, *filters.value)
                 words_of = [w.decode() for w in s.words]
-                names = [" ".join([words_of[i] for i in g if i]) for g in grams.tolist()]
-                size = (grams > 0).sum(1).astype(np.int32)
+                size = (grams > 0).sum(1)
+                names = [words_of[g[0]] if k == 1 else " ".join([words_of[i] for i in g[:k]]) for g, k in zip(grams.tolist(), size.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([s.lang] * len(n), pa.string()), pa.array(names, pa.string()), pa.array(size), pa.array(n)],
+                    [pa.array([s.lang] * len(n), pa.string()), pa.array(names, pa.string()), pa.array(size.astype(np.int32)), pa.array(n)],
                     ["lang", "gram", "size", "n"])
     return run
 
 
-def _filter(hashes: DataFrame) -> np.ndarray:
-    """A bit per hash; at most 2 ** (FILTER_BITS - 6) numbers reach the driver."""
-    place = F.col("h").bitwiseAND((1 << FILTER_BITS) - 1)
-    longs = hashes.groupBy(F.shiftright(place, 6).alias("i")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b")).toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    bits[longs.column("i").to_numpy()] = longs.column("b").to_numpy().view(np.uint64)
-    return bits
-
-
 def _first(gram: Column, words: int) -> Column:
     return F.substring_index(gram, " ", words)
 
@@ -202,13 +283,15 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), docs["text"].alias("text"))
-    words = stored(texts.mapInArrow(_words, "lang string, word string, h long, n long").groupBy("lang", "word").agg(
-        F.first("h").alias("h"), F.sum("n").alias("n")), "words")
+    words = stored(texts.mapInArrow(_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    word_bits = spark.sparkContext.broadcast(_filter(words.where(F.col("n") >= least).select("h")))
-    pairs = texts.mapInArrow(_pairs(word_bits), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    pair_bits = spark.sparkContext.broadcast(_filter(pairs.where(F.col("n") >= least).select("h")))
-    edges = stored(texts.mapInArrow(_edges(word_bits, pair_bits), "lang string, gram string, size int, n long").groupBy(
+    bits = "size int, i long, b long"
+    word_bits = _filters(words.where(F.col("n") >= least).select("lang", "word").mapInArrow(_word_bits, bits))[1]
+    sent = spark.sparkContext.broadcast(word_bits)
+    hashed = texts.mapInArrow(_hashed_grams(sent), "size int, shard int, data binary")
+    gram_bits = _filters(hashed.repartition("size", "shard").sortWithinPartitions("size", "shard").mapInArrow(_frequent(least), bits))
+    sent = spark.sparkContext.broadcast((word_bits, gram_bits[2], gram_bits[3]))
+    edges = stored(texts.mapInArrow(_edges(sent), "lang string, gram string, size int, n long").groupBy(
         "lang", "gram", "size").agg(F.sum("n").alias("n")), "edges")
     counts = stored(gram_counts(edges).where(F.col("f") >= least), "counts")
 
