@@ -43,6 +43,8 @@ TEMPLATES = {
 #: fixed values: what a notice mentions, in any case
 MENTION = r"(?i)licen[sc]e|copyright|spdx|creative commons|\bcc[ -]?(?:by|0)\b|public domain|redistribution|hereby granted"
 AROUND = 320
+#: longest block that is compressed at once; longer ones are cut into blocks that overlap by ``OVERLAP``
+WINDOW, OVERLAP = 4096, 1024
 LEVEL = 19
 #: share of a template's words that may be missing or added
 TOLERANCE = 0.2
@@ -55,7 +57,7 @@ def words(text: str) -> list[str]:
 
 
 def blocks(text: str, around: int = AROUND) -> list[tuple[int, int]]:
-    """Spans of ``around`` characters before and behind each mention, joined where they touch."""
+    """Spans of ``around`` characters before and behind each mention, joined where they touch, cut to a bounded length."""
     spans: list[list[int]] = []
     for m in re.finditer(MENTION, text):
         a, b = max(0, m.start() - around), min(len(text), m.end() + around)
@@ -63,27 +65,27 @@ def blocks(text: str, around: int = AROUND) -> list[tuple[int, int]]:
             spans[-1][1] = b
         else:
             spans.append([a, b])
-    return [(a, b) for a, b in spans]
-
-
-def differences(template: list[str], block: list[str]) -> tuple[int, int, bool, tuple[int, int]]:
-    """Words of the template missing from, and foreign words inside, its best place in the block; whether all
-    numbers agree; that place as a span of words."""
-    best = (len(template), 0, False, (0, 0))
-    starts = [i for i, w in enumerate(block) if w in template[:2]] or [0]
-    for i in starts:
-        window = block[i:i + len(template) + len(template) // 4 + 1]
-        runs = [r for r in SequenceMatcher(None, template, window, autojunk=False).get_matching_blocks() if r.size]
+    return [(x, min(b, x + WINDOW)) for a, b in spans for x in range(a, max(a + 1, b - OVERLAP), WINDOW - OVERLAP)]
+
+
+def places(template: list[str], block: list[str]) -> list[tuple[int, int, tuple[int, int]]]:
+    """Where the template lies in the block, closely enough and with all its numbers: its words that are missing,
+    foreign words inside, and the place as a span of words. Places may overlap."""
+    out = []
+    most, head = max(1, int(TOLERANCE * len(template))), set(template[:2])
+    known = SequenceMatcher(None, [], template, autojunk=False)  # what it learns of the second list is kept
+    for i in [i for i, w in enumerate(block) if w in head] or [0]:
+        known.set_seq1(block[i:i + len(template) + len(template) // 4 + 1])
+        runs = [r for r in known.get_matching_blocks() if r.size]
         if not runs:
             continue
         hit = sum(r.size for r in runs)
-        end = runs[-1].b + runs[-1].size
-        kept = {template[r.a + k] for r in runs for k in range(r.size)}
-        numbers = all(w in kept for w in template if w[0].isdigit())
-        found = (len(template) - hit, end - runs[0].b - hit, numbers, (i + runs[0].b, i + end))
-        if sum(found[:2]) < sum(best[:2]):
-            best = found
-    return best
+        end = runs[-1].a + runs[-1].size
+        missing, added = len(template) - hit, end - runs[0].a - hit
+        kept = {template[r.b + k] for r in runs for k in range(r.size)}
+        if missing + added <= most and all(w in kept for w in template if w[0].isdigit()):
+            out.append((missing, added, (i + runs[0].a, i + end)))
+    return out
 
 
 def scanner(templates: dict[str, list[str]] = TEMPLATES, level: int = LEVEL):
@@ -103,19 +105,18 @@ def scanner(templates: dict[str, list[str]] = TEMPLATES, level: int = LEVEL):
         found = []
         for saved, i in ranked:
             name, wanted, _ = given[-i]
-            missing, added, numbers, span = differences(wanted, own)
-            if saved > 0 and numbers and missing + added <= max(1, int(TOLERANCE * len(wanted))):
-                found.append((missing + added, -saved, name, span, missing, added))
-        taken: list[tuple[int, int]] = []
+            if saved > 0:
+                found += [(missing + added, -saved, name, span, missing, added) for missing, added, span in places(wanted, own)]
+        taken = bytearray(len(own))
         for _, less, name, (i, j), missing, added in sorted(found):
-            if all(j <= s or e <= i for s, e in taken):  # of notices that overlap, the closest
-                taken.append((i, j))
+            if not any(taken[i:j]):  # of notices that overlap, the closest
+                taken[i:j] = b"\1" * (j - i)
                 yield name, at[i][0], at[j - 1][1], -less, missing, added
 
     def scan(text: str):
         out = []
         for a, b in blocks(text):
-            # notices of one kind may follow each other: what lies outside a find is looked at again
+            # what lies outside all finds is looked at again: there another template may save most
             todo = [(a, b)]
             while todo:
                 x, y = todo.pop()
@@ -124,7 +125,14 @@ def scanner(templates: dict[str, list[str]] = TEMPLATES, level: int = LEVEL):
                 edges = [x, *[e for g in sorted(got, key=lambda g: g[1]) for e in g[1:3]], y]
                 if got:
                     todo += [(p, q) for p, q in zip(edges[::2], edges[1::2]) if re.search(MENTION, text[p:q])]
-        return sorted(out, key=lambda g: g[1])
+        # a notice in two overlapping blocks counts once, and one cut by a border gives way to the whole
+        kept: list[tuple] = []
+        for g in sorted(set(out), key=lambda g: (g[1], g[4] + g[5], -g[2])):
+            if not kept or g[1] >= kept[-1][2]:
+                kept.append(g)
+            elif g[4] + g[5] < kept[-1][4] + kept[-1][5]:
+                kept[-1] = g
+        return kept
 
     return scan
 

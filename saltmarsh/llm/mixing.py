@@ -18,6 +18,8 @@ from .shared import stored
 
 BLOCK_DOCS = 16
 PERIOD = 1000
+#: name of all sources too small for a slot of their own
+POOL = "rest"
 EXPONENT = 0.9
 
 
@@ -56,17 +58,31 @@ def period(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
 def temperature_weights(docs: DataFrame, exponent: float = EXPONENT, total: int = PERIOD) -> dict[str, int]:
     """Integer weights in proportion to (rows of a source) ** exponent, by largest remainders.
 
-    They add up to ``total``, so at most ``total`` sources, and as many rows on the driver, get one; a
-    source below one slot in ``total`` gets none.
+    They add up to ``total``, so at most ``total`` sources, and as many rows on the driver, get one of their
+    own. Sources below one slot in ``total`` are pooled: ``POOL`` has the weight of their rows together, 1 at least.
     """
     counts = docs.groupBy(source_name(docs["source"]).alias("name")).agg(F.count("*").alias("n"))
-    counts = stored(counts.select("name", F.pow(F.col("n").cast("double"), F.lit(exponent)).alias("p")), "source-counts")
-    quota = F.col("p") * total / F.lit(counts.agg(F.sum("p")).first()[0])
-    shares = counts.select("name", F.floor(quota).alias("w"), (quota - F.floor(quota)).alias("rest"))
+    power = lambda n: F.pow(F.col(n).cast("double"), F.lit(exponent))
+    counts = stored(counts.select("name", "n", power("n").alias("p")), "source-counts")
+    all_of = counts.agg(F.sum("p")).first()[0]
+    if all_of is None:
+        return {}
+    small = F.col("p") * total / F.lit(all_of) < 1
+    pool = counts.where(small).agg(F.sum("n").alias("n")).where("n is not null").select(F.lit(POOL).alias("name"), power("n").alias("p"))
+    shares = stored(counts.where(~small).select("name", "p").unionAll(pool), "source-shares")
+    quota = F.col("p") * total / F.lit(shares.agg(F.sum("p")).first()[0])
+    shares = shares.select("name", F.floor(quota).alias("w"), (quota - F.floor(quota)).alias("rest"))
     left = total - (shares.agg(F.sum("w")).first()[0] or 0)
     more = shares.orderBy(F.desc("rest"), "name").limit(int(left)).select("name", F.lit(1).alias("more"))
-    rows = shares.join(F.broadcast(more), "name", "left").select("name", (F.col("w") + F.coalesce("more", F.lit(0))).alias("w")).where("w > 0")
-    return {r["name"]: r["w"] for r in rows.collect()}
+    w = F.col("w") + F.coalesce("more", F.lit(0))
+    rows = shares.join(F.broadcast(more), "name", "left").select("name", F.when(F.col("name") == POOL, F.greatest(w, F.lit(1))).otherwise(w).alias("w"))
+    return {r["name"]: r["w"] for r in rows.where("w > 0").collect()}
+
+
+def pooled_name(source: Column, weights: dict[str, int]) -> Column:
+    """The name a row is scheduled under: that of its source, or ``POOL`` for a source without a weight if there is a pool."""
+    name = source_name(source)
+    return F.when(name.isin([n for n, w in weights.items() if w > 0]), name).otherwise(POOL) if POOL in weights else name
 
 
 def schedule(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_DOCS, seed: str = "mix") -> DataFrame:
@@ -75,14 +91,16 @@ def schedule(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_D
     ``weights`` maps ``source_name`` values to integers. Inside a source documents stand in the order of
     an MD5 of seed and doc_id, then doc_id. The mix ends at the first slot whose source has no block left;
     up to there the weights hold to less than one block. Rows behind it keep their slot with in_mix false;
-    rows of sources without a weight have null block, place and slot. Null doc_ids come first in their source.
+    rows of sources without a weight have null block, place and slot, unless ``POOL`` has a weight: then they
+    are scheduled together under that name, and the mix does not end when the pool has run out. Null doc_ids
+    come first in their source.
     """
     spark = docs.sparkSession
     plan = stored(period(spark, weights), "period")
     total = sum(w for w in weights.values() if w > 0)
     share = plan.select("name", "weight").distinct()
     order = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
-    rows = docs.select(docs["doc_id"].alias("doc_id"), source_name(docs["source"]).alias("name"))
+    rows = docs.select(docs["doc_id"].alias("doc_id"), pooled_name(docs["source"], weights).alias("name"))
     rows = rows.join(F.broadcast(share), "name", "left")
     placed = rows.where("weight is not null").orderBy("name", order, "doc_id")
     placed = stored(placed.withColumn("__mid", F.monotonically_increasing_id()), "mix-order")
@@ -99,6 +117,8 @@ def schedule(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_D
         "name", "weight", F.expr(f"(coalesce(n, 0) + {block_docs - 1}) div {block_docs}").alias("missing"))
     k, before = slot_of(F.col("missing"), F.col("weight"))
     ends = ends.select("name", k.alias("k"), before.alias("before")).join(plan, ["name", "k"])
+    if len(weights) > 1:
+        ends = ends.where(F.col("name") != POOL)
     horizon = ends.agg(F.min(F.col("before") + F.col("slot"))).first()[0] or 0
 
     at = indexed.join(F.broadcast(ranges.drop("n")), "name").select(
@@ -116,12 +136,13 @@ def schedule(docs: DataFrame, weights: dict[str, int], block_docs: int = BLOCK_D
 def mixed(docs: DataFrame, weights: dict[str, int] | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """The rows of ``docs`` that are in the mix, in the order of their slots; columns unchanged.
 
-    Without ``weights`` they follow ``temperature_weights``. Rows that share source and doc_id share the
+    Without ``weights`` they follow ``temperature_weights``; the mix ends where the first source of a weight of
+    its own runs out, and the rows behind it are left out. Rows that share source and doc_id share the
     earliest of their places. An empty table stays empty.
     """
     weights = temperature_weights(docs) if weights is None else weights
     slots = schedule(docs, weights, block_docs).where("in_mix").groupBy("doc_id", "name").agg(
         F.min(F.struct("slot", "place")).alias("__at")).select(F.col("doc_id").alias("__doc"), F.col("name").alias("__name"), "__at")
     slots = stored(slots, "mix-slots")
-    same = docs["doc_id"].eqNullSafe(F.col("__doc")) & (source_name(docs["source"]) == F.col("__name"))
+    same = docs["doc_id"].eqNullSafe(F.col("__doc")) & (pooled_name(docs["source"], weights) == F.col("__name"))
     return docs.join(slots, same).orderBy("__at.slot", "__at.place", "doc_id").select(*[docs[c] for c in docs.columns])

@@ -234,6 +234,53 @@ def test_changed_passages_are_found(share):
     assert found >= {0.0: 20, 0.02: 9, 0.03: 5}[share]
 
 
+@pytest.mark.parametrize("length,changes", [(n, c) for n in (55, 60, 75, 90, 120, 200) for c in (1, 2, 3, 4)])
+def test_nine_in_ten_near_passages_are_found(length, changes):
+    """Passages with some words replaced, among unrelated words, that reach the similarity."""
+    rng = np.random.default_rng(1000 * length + changes)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    found = total = 0
+    for _ in range(1500):
+        if total == 25:
+            break
+        p = new(length)
+        q = list(p)
+        for at in rng.choice(length, changes, replace=False):
+            q[at] = new(1)[0]
+        x, y = ({tuple(t[i:i + 5]) for i in range(length - 4)} for t in (p, q))
+        if 100 * len(x & y) < 75 * len(x | y):
+            continue
+        total += 1
+        a, b = new(int(rng.integers(0, 150))) + p + new(int(rng.integers(0, 150))), new(int(rng.integers(0, 150))) + q + new(int(rng.integers(0, 150)))
+        # what brings two documents together: keys in common under two functions
+        one, other = (passages.Text(" ".join(t).encode(), 46) for t in (a, b))
+        met = sum(len(np.intersect1d(u, v)) > 0 for u, v in zip(one.keys, other.keys)) >= passages.AGREE
+        found += bool(met and passages.common_passages(one, other))
+    assert found >= 0.9 * total
+
+
+def test_the_longest_stretch_above_the_threshold():
+    rng = random.Random(13)
+    for _ in range(300):
+        runs, i, j = [], 0, 0
+        for _ in range(rng.randrange(1, 9)):
+            n = rng.randrange(1, 40)
+            runs.append((i, j, n))
+            i, j = i + n + rng.randrange(0, 4), j + n + rng.randrange(0, 4)
+        best = 0
+        for k in range(len(runs)):
+            score = 0
+            for m in range(k, len(runs)):
+                if m > k:
+                    (pi, pj, pn), (i, j, _) = runs[m - 1], runs[m]
+                    score -= 3 * (i - pi - pn + j - pj - pn + 8)
+                score += max(0, runs[m][2] - 4)
+                if score >= 0:
+                    best = max(best, runs[m][0] + runs[m][2] - runs[k][0])
+        k, m = passages._longest(runs)
+        assert runs[m][0] + runs[m][2] - runs[k][0] == best
+
+
 def test_passage_around_the_anchor_is_one_run():
     rng = np.random.default_rng(5)
     names = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
@@ -243,17 +290,22 @@ def test_passage_around_the_anchor_is_one_run():
         assert [(r[0], r[1], r[2], r[3]) for r in passages.common_passages(x, y)] == [(20, 74, 20, 74)]
 
 
-def test_first_shingles_meet_in_any_common_order():
-    rng = np.random.default_rng(5)
-    for _ in range(300):
-        n = int(rng.integers(1, 80))
-        pool = np.unique(rng.integers(0, 1 << 60, 2 * n).astype(np.uint64))
-        x = np.sort(rng.choice(pool, n, replace=False))
-        y = np.union1d(rng.choice(x, max(1, int(n * rng.uniform(0.7, 1))), replace=False), rng.choice(pool, n // 8, replace=False))
-        common = np.sort(rng.choice(pool, n, replace=False))
-        both = len(np.intersect1d(x, y))
-        if 100 * both >= 75 * (len(x) + len(y) - both):
-            assert len(np.intersect1d(near_dup.first_shingles(x, common, 75), near_dup.first_shingles(y, common, 75)))
+def test_first_shingles_meet_whatever_passages_are_shared(spark):
+    rng = random.Random(12)
+    passage = prose(rng, 80)
+    base = [prose(rng, 60) for _ in range(12)]
+    texts = [change(rng, t, share) for t in base for share in (0, 0.01, 0.03, 0.05)] + [passage + " " + prose(rng, 30) for _ in range(30)]
+    texts += [passage + " " + t for t in base[:6]] + [passage, passage + " end", "a b c", "a b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = near_dup._sharing(docs.select(docs.doc_id.alias("cid")), docs, 75).collect()
+    meet = defaultdict(set)
+    for r in rows:
+        meet[r.bucket].add(r.cid)
+    sets = [shingle_strings(t) for t in texts]
+    near = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(near) > 20 and all(any({i, j} <= m for m in meet.values()) for i, j in near)
+    # documents that have no more in common than the passage do not meet over it
+    assert not any(len(m & set(range(48, 78))) > 1 for m in meet.values())
 
 
 def test_near_duplicates_among_documents_that_share_a_passage(spark):

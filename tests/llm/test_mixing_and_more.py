@@ -1,12 +1,15 @@
 """Mixing, licences, embeddings, the pipeline, the SQL twins and the worker code."""
 
 import os
+import random
+import re
 import subprocess
 import sys
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from saltmarsh.llm import licenses, mixing, vectors
 from saltmarsh.llm.queries import ORACLES, QUERIES
@@ -48,7 +51,7 @@ def test_schedule(hard_docs, no_docs, plain):
     assert mixing.schedule(no_docs, weights).count() == 0
 
 
-def test_mixed_rows_keep_columns_and_order(hard_docs, no_docs):
+def test_mixed_rows_keep_columns_and_order(spark, hard_docs, no_docs):
     out = mixing.mixed(hard_docs, {"=src0": 3, "=src1": 1}, block_docs=1)
     rows = out.collect()
     assert out.columns == hard_docs.columns and {r.source for r in rows} == {"src0", "src1"}
@@ -56,6 +59,12 @@ def test_mixed_rows_keep_columns_and_order(hard_docs, no_docs):
         assert abs(sum(r.source == "src1" for r in rows[:n]) - n / 4) < 1 + sum(c - 1 for c in Counter(r.doc_id for r in rows).values())
     assert mixing.mixed(no_docs).count() == 0
     assert sum(mixing.temperature_weights(hard_docs).values()) == mixing.PERIOD
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2990, F.concat(F.lit("s"), F.col("id") % 3)).otherwise(
+        F.concat(F.lit("tiny"), "id")).alias("source"), F.lit("t").alias("text"))
+    weights = mixing.temperature_weights(many, total=100)
+    assert set(weights) == {"=s0", "=s1", "=s2", mixing.POOL} and sum(weights.values()) == 100
+    kept = {r.doc_id for r in mixing.mixed(many, weights, block_docs=4).collect()}
+    assert kept >= set(range(2990, 3000)) and len(kept) > 2900  # no small source is lost, and none ends the mix
 
 
 def test_attach_with_a_hot_group(spark):
@@ -89,6 +98,45 @@ def test_licenses(spark, hard_docs, no_docs):
     assert licenses.license_notices(no_docs).count() == 0
 
 
+def test_many_notices_in_one_text():
+    scan = licenses.scanner()
+    notices = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "This work is licensed under the GNU General Public License, version 3."]
+    rng = random.Random(3)
+    order = [rng.randrange(3) for _ in range(1500)]
+    got = scan(" ".join(notices[k] for k in order))
+    assert [g[0] for g in got] == [("MIT", "CC-BY-4.0", "GPL-3.0")[k] for k in order]
+    assert all(g[4] + g[5] == 0 for g in got)
+    assert len(scan(notices[0] * 300)) == 300
+
+
+def test_notices_are_the_closest_places_of_all_templates():
+    """Against a plain search: every span of words against every template by edit operations of whole words."""
+    rng = random.Random(4)
+    scan = licenses.scanner()
+    for _ in range(40):
+        name = rng.choice(sorted(licenses.TEMPLATES))
+        notice = rng.choice(licenses.TEMPLATES[name])
+        w = notice.split()
+        if len(w) > 9 and rng.random() < 0.5:
+            del w[rng.choice([k for k, x in enumerate(w) if k > 2 and not any(c.isdigit() for c in x)])]
+        text = "quiet words before it " * rng.randrange(30) + " ".join(w) + " and words behind" * rng.randrange(30)
+        if not re.search(licenses.MENTION, text):  # the changed word was the only mention
+            continue
+        own, best = licenses.words(text), []
+        for n, ts in licenses.TEMPLATES.items():
+            for t in map(licenses.words, ts):
+                for i in range(len(own)):
+                    part = own[i:i + len(t)]
+                    if not set(x for x in t if x[0].isdigit()) <= set(part):
+                        continue
+                    common = Counter(part) & Counter(t)
+                    cost = len(t) + len(part) - 2 * sum(common.values())
+                    if part and part[0] in t[:2] and cost <= max(1, int(0.2 * len(t))) * 2:
+                        best.append((cost, -len(t), n))
+        got = scan(text)
+        assert got and got[0][0] == min(best)[2], (text, got)
+
+
 def vector_truth(rows, cosine=0.9):
     sound = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     links, parent = Counter(), {i: i for i, _ in rows}
@@ -178,3 +226,45 @@ def test_workers_need_no_installed_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 200" in got.stdout, got.stderr[-800:]
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.15, 1.0])
+@pytest.mark.parametrize("alone", [8, 1 << 30, 0])
+def test_dual_traversal_finds_all_pairs_by_every_way(spread, alone, monkeypatch):
+    monkeypatch.setattr(vectors, "ALONE", alone)  # the product of blocks, never, or always at once
+    rng = np.random.default_rng(8)
+    middle = rng.normal(size=(6, 8))
+    x, y = (vectors.unit(middle[rng.integers(0, 6, 90)] + spread * rng.normal(size=(90, 8))) for _ in range(2))
+    for a, b in ((x, y), (x, x)):
+        s = vectors.CoverTree(a)
+        t = s if a is b else vectors.CoverTree(b)
+        got = []
+        for p, q, whole in vectors.dual(s, t):
+            if whole and s is t and p[0] == q[0]:
+                got += [(i, j) for i in p for j in p if i < j]
+            else:
+                got += [(i, j) for i in p for j in q] if whole else list(zip(p, q))
+        cos = s.x @ t.x.T >= 0.9
+        want = {(i, j) for i, j in zip(*np.nonzero(cos)) if s is not t or i < j}
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_groups_far_apart_are_not_sent_to_each_other(spark):
+    rng = np.random.default_rng(9)
+    middle = vectors.unit(rng.normal(size=(12, 16)))
+    rows = [(i, [float(v) for v in middle[i % 12] + 0.01 * rng.normal(size=16)]) for i in range(480)]
+    sent = []
+
+    def spy(chunks, n_groups, limit, real=vectors.near_groups):
+        out = real(chunks, n_groups, limit)
+        sent.append((n_groups, out.select("one", "two").distinct().count()))
+        return out
+
+    kept, vectors.near_groups = vectors.near_groups, spy
+    try:
+        out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), centres=64, chunk=10, group=1).collect()
+    finally:
+        vectors.near_groups = kept
+    (groups, pairs), = sent
+    assert groups >= 12 and pairs < groups * (groups + 1) / 2 / 2
+    assert {r.component_id for r in out} == set(range(12)) and all(r.n_links == 39 for r in out)
