@@ -1,15 +1,17 @@
 """Embedding near-duplicates by dual traversal of cover trees.
 
 Unit vectors with cosine c are at distance sqrt(2 - 2c), so the threshold is a radius. Equal vectors are
-one item. Items are dealt to the cells of a bounded sample of centres, cells to chunks of a bounded size,
-and each chunk gets a cover tree, built once: nested levels of balls with halving radii, every ball with its true
-covering radius. Two trees are walked together, level by level: a pair of balls further apart than the
-threshold and both covering radii is dropped, a pair that lies within it whole is linked whole, and only
-what remains descends; at the points the cosine itself decides, in double precision. Chunks are put in
-groups, neighbours together; groups whose covering radii rule each other out do not meet, the others meet
-in a grid, so a chunk is sent once per group it may meet and not once per chunk. Independent vectors in
-many dimensions are all about equally far apart: there no ball but the smallest is ever dropped, and the
-work is that of all pairs of distinct neighbourhoods, in blocks.
+one item. Items are dealt to the cells of a bounded sample of centres; the centres are halved again and again
+along their widest axis, and neighbours in that order make up chunks of a bounded size. Each chunk gets a cover
+tree, built once: nested levels of balls with halving radii, every ball with its true covering radius. Two
+trees are walked together, level by level: a pair of balls further apart than the threshold and both
+covering radii is dropped, a pair that lies within it whole is linked whole, and only what remains
+descends; at the points the cosine itself decides, in double precision. Where so many pairs of balls remain
+that looking at them one by one costs more than the product of the two blocks, the product decides the rest
+at once. Chunks are put in groups; pairs of groups whose covering balls rule each other out are dropped
+before anything is sent, the others meet in a grid, so a chunk is sent once per group it may meet and not
+once per chunk. Independent vectors in many dimensions are all about equally far apart: there no ball but
+the smallest is ever dropped, and the work is that of all pairs, in blocks.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from .shared import attach, components, ship, stored
 
 COSINE = 0.9
 #: vectors that become the centres of cells, at most (a bounded sample; every vector is dealt to a cell)
-CENTRES = 32
+CENTRES = 1024
 CHUNK = 2048
+#: a pair looked at by itself costs about as much as so many in a product of blocks
+ALONE = 8
 GROUP = 4
 RADII = [1.0, 0.5, 0.25]
 _EDGE = 1e-9
@@ -112,47 +116,59 @@ def dual(a: CoverTree, b: CoverTree, cosine: float = COSINE):
         i, j = np.nonzero(near)
         found.append((rows[i], j))
     pairs = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    done = None  # pairs of points linked as whole balls
+
+    def product():
+        for t in range(0, len(a.x), 1024):
+            hit = a.x[t:t + 1024] @ b.x.T >= cosine
+            if done is not None:
+                hit &= ~done[t:t + 1024]
+            p, q = np.nonzero(hit)
+            p += t
+            if same:
+                p, q = p[p < q], q[p < q]
+            if len(p):
+                yield p, q, False
+
+    size = max(1, (1 << 22) // max(1, a.x.shape[1]))
     for depth in range(len(a.levels)):
         la, lb = a.levels[depth], b.levels[depth]
-        step = max(1, (1 << 22) // max(1, a.x.shape[1]))
-        keep = []
-        for s in range(0, len(pairs[0]), step):
-            i, j = pairs[0][s:s + step], pairs[1][s:s + step]
+        (fa, ta), (fb, tb) = a.points[depth], b.points[depth]
+        keep = [np.empty((2, 0), int)]
+        for s in range(0, len(pairs[0]), size):
+            i, j = pairs[0][s:s + size], pairs[1][s:s + size]
             d = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", a.x[la.centre[i]], b.x[lb.centre[j]])))
             reach = la.radius[i] + lb.radius[j]
             near = d <= limit + reach + _EDGE
             whole = d + reach <= limit - _EDGE
-            (fa, ta), (fb, tb) = a.points[depth], b.points[depth]
             if same:
                 whole = np.where(i == j, 2 * la.radius[i] <= limit - _EDGE, whole)
                 alone = (i == j) & (ta[i] - fa[i] == 1)
                 near, whole = near & ~alone, whole & ~alone
             for u, v in zip(i[whole], j[whole]):
+                if done is None:
+                    done = np.zeros((len(a.x), len(b.x)), bool)
+                done[fa[u]:ta[u], fb[v]:tb[v]] = True
                 yield np.arange(fa[u], ta[u]), np.arange(fb[v], tb[v]), True
-            keep.append((i[near & ~whole], j[near & ~whole]))
-        i, j = (np.concatenate([k[side] for k in keep]) if keep else np.empty(0, int) for side in (0, 1))
-        last = depth + 1 == len(a.levels)
-        nxt: list[tuple[np.ndarray, np.ndarray]] = []
-        for u, v in zip(i, j):
-            ka = np.arange(la.first[u], la.first[u] + la.count[u])
-            kb = np.arange(lb.first[v], lb.first[v] + lb.count[v])
-            if last:
-                for t in range(0, len(ka), 1024):
-                    cos = a.x[ka[t:t + 1024]] @ b.x[kb].T
-                    p, q = np.nonzero(cos >= cosine)
-                    p, q = ka[t:t + 1024][p], kb[q]
-                    if same and u == v:
-                        p, q = p[p < q], q[p < q]
-                    if len(p):
-                        yield p, q, False
-                continue
-            p, q = np.repeat(ka, len(kb)), np.tile(kb, len(ka))
-            if same and u == v:
-                p, q = p[p <= q], q[p <= q]
-            nxt.append((p, q))
-        if last:
+            keep.append(np.stack([i[near & ~whole], j[near & ~whole]]))
+        i, j = np.concatenate(keep, 1)
+        below = la.count[i] * lb.count[j]
+        if below.sum() * ALONE > len(a.x) * len(b.x):
+            yield from product()
             return
-        pairs = tuple(np.concatenate([k[side] for k in nxt]) if nxt else np.empty(0, int) for side in (0, 1))
+        at = np.repeat(np.arange(len(i)), below)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(below) - below, below)
+        p, q = la.first[i][at] + step // lb.count[j][at], lb.first[j][at] + step % lb.count[j][at]
+        last = depth + 1 == len(a.levels)
+        if same:
+            once = np.where((i == j)[at], p < q if last else p <= q, True)
+            p, q = p[once], q[once]
+        pairs = p, q
+    for s in range(0, len(pairs[0]), size):
+        p, q = pairs[0][s:s + size], pairs[1][s:s + size]
+        hit = np.einsum("ij,ij->i", a.x[p], b.x[q]) >= cosine
+        if hit.any():
+            yield p[hit], q[hit], False
 
 
 class Tally:
@@ -215,6 +231,20 @@ class Tally:
         self.held = sum(map(len, self.items))
 
 
+def halved(points: np.ndarray) -> list[int]:
+    """The points in an order that keeps neighbours together: halves along the widest axis, and so on."""
+    out, waiting = [], [np.arange(len(points))]
+    while waiting:
+        some = waiting.pop()
+        if len(some) < 3:
+            out.extend(some.tolist())
+            continue
+        x = points[some] - points[some].mean(0)
+        some = some[np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")]
+        waiting += [some[len(some) // 2:], some[:len(some) // 2]]
+    return out
+
+
 def _deal(centres: np.ndarray):
     """Nearest centre of each vector."""
     def run(batches):
@@ -272,6 +302,23 @@ def _meet(cosine: float):
     return run
 
 
+def near_groups(chunks: DataFrame, n_groups: int, limit: float) -> DataFrame:
+    """(grp, one, two) per group and pair it may meet: covering balls of both no further apart than ``limit``.
+
+    A group's ball is around the mean of its chunks' centres. Only balls are compared here, no vectors.
+    """
+    middle = chunks.select("grp", F.posexplode("centre").alias("i", "x")).groupBy("grp", "i").agg(F.avg("x").alias("x"))
+    middle = middle.groupBy("grp").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("middle"))
+    gap = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, z: s + z))
+    balls = stored(chunks.join(middle, "grp").groupBy("grp", "middle").agg(
+        F.max(gap(F.col("middle"), F.col("centre")) + F.col("radius")).alias("reach")), "group-balls")
+    other = balls.select(F.col("grp").alias("two"), F.col("middle").alias("middle2"), F.col("reach").alias("reach2"))
+    pairs = balls.select(F.col("grp").alias("one"), "middle", "reach", F.explode(F.sequence(F.col("grp"), F.lit(n_groups - 1))).alias("two"))
+    near = pairs.join(other, "two").where(
+        (F.col("one") == F.col("two")) | (gap(F.col("middle"), F.col("middle2")) <= limit + F.col("reach") + F.col("reach2") + _EDGE))
+    return near.select(F.explode(F.array_distinct(F.array("one", "two"))).alias("grp"), "one", "two")
+
+
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, centres: int = CENTRES, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
 
@@ -297,22 +344,23 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, centres: int = CENT
     middle = unit(np.array([r[0] for r in some], np.float64)) if some else np.zeros((1, max(1, length)))
     dealt = stored(items.select("k", "embedding").mapInArrow(_deal(middle), "k long, cell int"), "cells")
     cells = {r["cell"]: r["n"] for r in dealt.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per centre
-    # cells next to each other share groups: order them along the largest spread of the centres
-    axis = np.linalg.svd(middle - middle.mean(0), full_matrices=False)[2][0] if len(middle) > 1 else middle[0]
-    first, parts, total = {}, {}, 0
-    for cell in sorted(cells, key=lambda c: float(middle[c] @ axis)):
-        first[cell], parts[cell] = total, math.ceil(cells[cell] / chunk)
-        total += parts[cell]
-    numbers = F.create_map(*[F.lit(v) for c in cells for v in (c, first[c])]) if cells else F.create_map().cast("map<int,int>")
-    counts = F.create_map(*[F.lit(v) for c in cells for v in (c, parts[c])]) if cells else F.create_map().cast("map<int,int>")
-    number = numbers[F.col("cell")] + F.pmod(F.xxhash64("k"), counts[F.col("cell")]).cast("int")
-    chunked = items.select("k", "size", "embedding").join(dealt, "k").withColumn("chunk", number)
+    # neighbouring cells share a chunk until it is full; a cell of more than a chunk is cut by hash
+    plan, room, total = [], 0, 0
+    for cell in (c for c in halved(middle) if c in cells):
+        parts = math.ceil(cells[cell] / chunk)
+        if parts > 1 or cells[cell] > room:
+            total, room = total + parts, chunk - cells[cell] if parts == 1 else 0
+        else:
+            room -= cells[cell]
+        plan.append((cell, total - parts, parts))
+    dealt = dealt.join(F.broadcast(spark.createDataFrame(plan, "cell int, first int, parts int")), "cell")  # one row per centre
+    number = (F.col("first") + F.pmod(F.xxhash64("k"), F.col("parts"))).cast("int")
+    chunked = items.select("k", "size", "embedding").join(dealt, "k").select("k", "size", "embedding", number.alias("chunk"))
     packed = stored(chunked.groupBy("chunk").applyInPandas(_pack, "chunk int, body binary, centre array<double>, radius double"), "chunks")
 
     n_groups = max(1, math.ceil(total / group))
-    grouped = packed.select("chunk", "body", (F.col("chunk") / group).cast("int").alias("grp"))
-    sent = grouped.withColumn("partner", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)))).select(
-        F.least("grp", "partner").alias("one"), F.greatest("grp", "partner").alias("two"), "grp", "chunk", "body")
+    grouped = packed.select("chunk", "body", (F.col("chunk") / group).cast("int").alias("grp"), "centre", "radius")
+    sent = grouped.select("grp", "chunk", "body").join(near_groups(grouped, n_groups, math.sqrt(2 - 2 * cosine)), "grp")
     met = stored(sent.groupBy("one", "two").applyInPandas(_meet(cosine), "k long, other long, n long"), "vector-links")
     links = met.where("other < 0").groupBy("k").agg(F.sum("n").alias("links"))
     labels = stored(components(met.where("other >= 0").select(F.col("k").alias("a"), F.col("other").alias("b"))), "vector-components")
