@@ -32,7 +32,8 @@ FEATURES = ["hour", "type_code", "user_group", "k"]
 WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_extendedprice) AS mp, stddev_pop(l_extendedprice) AS sp,
   corr(l_quantity, l_extendedprice) AS r FROM lineitem),
 z AS (SELECT l_orderkey, l_linenumber, (l_quantity - mq) / sq AS a, (l_extendedprice - mp) / sp AS b, r FROM lineitem, s)
-SELECT l_orderkey, l_linenumber, {rnd('(a + b) / sqrt(2)')} AS pc1, {rnd('(a - b) / sqrt(2)')} AS pc2, {rnd('(1 + r) / 2')} AS ratio1, {rnd('(1 - r) / 2')} AS ratio2 FROM z""")
+SELECT l_orderkey, l_linenumber, {rnd('CASE WHEN r >= 0 THEN a + b ELSE a - b END / sqrt(2)')} AS pc1, {rnd('CASE WHEN r >= 0 THEN a - b ELSE a + b END / sqrt(2)')} AS pc2,
+  {rnd('(1 + abs(r)) / 2')} AS ratio1, {rnd('(1 - abs(r)) / 2')} AS ratio2 FROM z""")
 def pca_project(spark, sf):
     """Two standardised columns: the components are their sum and difference, the shares follow from the correlation."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
