@@ -45,11 +45,22 @@ def ship(spark: SparkSession) -> None:
     sc._saltmarsh_shipped = True
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table in the shared folder and read it back: lineage ends there."""
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as a parquet table in the shared folder and read it back: lineage ends there. Also its path."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """As ``stored_at``, the table alone."""
+    return stored_at(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table all of whose readers have been stored themselves."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ascii_lower(text: Column) -> Column:
