@@ -9,12 +9,14 @@ about once in 200 000 times.
 
 Documents with equal sets are one class, and only classes are compared. A band bucket never emits its
 pairs: first every member meets the smallest one; members that ended in the same component by confirmed
-links are done, and only where a bucket still holds several components is it looked at again. There the
-shingles are put in an order of the bucket's own: those that its smallest member lacks come first, then by
-hash. Two sets that reach the similarity share one of their first ``n - ceil(0.75 n) + 1`` shingles in any
-common order, so members meet only over such a shingle. Documents that share just a passage have it in
-common with the smallest member too, so it comes last and brings none of them together. Of shingles that
-the same members share one is enough, and again only members outside the largest component meet the rest.
+links are done, and only where a bucket still holds several components are its members looked at again.
+Their shingles are counted and ordered, rarest first. Two sets that reach the similarity share one of their
+first ``n - ceil(0.75 n) + 1`` shingles in any common order, so members meet only over such a shingle; shingles
+that one set alone has use up places of that list and bring nobody together, and those of a passage that
+many documents share come last. Of shingles that the same members share the first is enough. There again every
+member first meets the smallest, and then members outside the largest component meet the members of other
+components. What stands before the shingle they meet over is not shared, so its places in both lists bound the
+intersection, and pairs that can't reach the similarity are never formed.
 
 Pairs must pass the exact bound on set sizes, then the Jaccard estimate of their registers, corrected for
 registers that agree by chance and with six standard deviations to spare; the links themselves are
@@ -148,28 +150,15 @@ class _Sets:
         return self.sets[text]
 
 
-def first_shingles(s: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of set ``s`` of which a set as similar has at least one among its own; those in ``common`` come last."""
-    n = len(s) + (-percent * len(s)) // 100 + 1
-    rare = np.setdiff1d(s, common, assume_unique=True)
-    if len(rare) >= n:
-        return rare[:n]
-    return np.concatenate([rare, np.intersect1d(s, common, assume_unique=True)[: n - len(rare)]])
-
-
-def _firsts(percent: int):
-    def run(batches):
-        for batch in batches:
-            sets = _Sets(8)
-            ids, labels = batch.column("cid"), batch.column("label")
-            hubs = batch.column("hub").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            found = [np.empty(0, np.uint64)]
-            for i, (text, hub_text) in enumerate(zip(texts_of(batch.column("text")), texts_of(batch.column("hub_text")))):
-                found.append(mix(first_shingles(shingle_set(text), sets.of(hub_text), percent) ^ mix(hubs[i:i + 1])))
-            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) for f in found[1:]]))
-            keys = pa.array(np.concatenate(found).view(np.int64))
-            yield pa.RecordBatch.from_arrays([keys, ids.take(row), labels.take(row)], ["bucket", "cid", "label"])
-    return run
+def _entries(batches):
+    for batch in batches:
+        ids = batch.column("doc_id")
+        sets = [shingle_set(t) for t in texts_of(batch.column("text"))]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        names = np.array([int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in sets], np.int64)
+        row = np.repeat(np.arange(len(sets)), sizes)
+        h = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(names[row]), pa.array(sizes[row]), pa.array(h)], ["cid", "set", "n", "h"])
 
 
 def _unsettled(named: DataFrame) -> DataFrame:
@@ -180,19 +169,36 @@ def _unsettled(named: DataFrame) -> DataFrame:
 
 
 def _sharing(rows: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Rows (bucket, cid, label), a bucket for each first shingle that members (hub, cid, label) of a hub share.
+    """Rows (bucket, cid, n, behind), a bucket for each shingle among the first ones of several of the documents
+    ``rows`` (cid): the size of the set, and how many of its shingles are not before this one.
 
-    Of buckets with the same members (by count and two sums of hashes) one is left.
+    Shingles are ordered by the number of these documents' sets that hold them, then by hash. Of buckets with the
+    same members (by count and two sums of hashes) the first is left.
     """
-    wanted = stored(rows.select(F.col("cid").alias("doc_id")).unionAll(rows.select("hub")).distinct(), "wanted")
-    found = stored(texts.join(wanted, "doc_id", "left_semi"), "wanted-texts")
-    pairs = rows.join(found.select(F.col("doc_id").alias("cid"), "text"), "cid").join(
-        found.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")), "hub")
-    firsts = stored(pairs.select("hub", "cid", "label", "text", "hub_text").mapInArrow(_firsts(percent), "bucket long, cid long, label long"), "first-shingles")
+    wanted = rows.select(F.col("cid").alias("doc_id")).distinct()
+    entries = stored(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_entries, "cid long, set long, n long, h long"), "shingles")
+    counts = stored(entries.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "shingle-counts")
+    common = attach(entries, counts, "h", "df", spread="cid").where("df is not null")
+    lists = common.groupBy("cid", "set", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("l"))
+    first = F.expr(f"({100 - percent} * n) div 100 + 1")  # of all shingles; those of one set alone come before the listed ones
+    some = F.slice("l", 1, F.greatest(F.lit(0), first - (F.col("n") - F.size("l"))).cast("int"))
+    firsts = stored(lists.select("cid", "n", F.size("l").alias("m"), F.posexplode(some).alias("i", "s")).select(
+        F.col("s.h").alias("bucket"), F.col("s.df").alias("df"), "cid", "n", (F.col("m") - F.col("i")).cast("long").alias("behind")), "first-shingles")
     sums = [F.sum(F.xxhash64(F.lit(i), "cid").cast("decimal(20,0)")).alias(f"s{i}") for i in range(2)]
-    shared = firsts.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), *sums)
-    chosen = shared.where("low < high").groupBy("n", "s0", "s1").agg(F.min("bucket").alias("bucket"))
-    return firsts.join(chosen.select("bucket"), "bucket").distinct()
+    shared = firsts.groupBy("bucket", "df").agg(F.count("*").alias("m"), F.min("cid").alias("low"), F.max("cid").alias("high"), *sums)
+    chosen = shared.where("low < high").groupBy("m", "s0", "s1").agg(F.min(F.struct("df", "bucket")).alias("b"))
+    return firsts.join(chosen.select("b.bucket"), "bucket").select("bucket", "cid", "n", "behind").distinct()
+
+
+def _reach(percent: int):
+    """Whether sets of n and x_n shingles that first share one with ``behind`` and ``x_behind`` left can be similar enough."""
+    return F.lit(100 + percent) * F.least("behind", "x_behind") >= F.lit(percent) * (F.col("n") + F.col("x_n"))
+
+
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of each cid, its own id if it has none."""
+    return rows.join(labels.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
+        "label", F.coalesce("component", "cid")).drop("component")
 
 
 def _links(pairs: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -231,16 +237,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = _links(stars, sketches, some, percent)
 
     labels = components(links)
-    named = members.select("bucket", "hub", "cid").distinct().join(labels, F.col("cid") == F.col("node"), "left").select(
-        "bucket", "hub", "cid", F.coalesce("component", "cid").alias("label"))
-    again = stored(_unsettled(stored(named, "labelled-members")).select("hub", "cid", "label").distinct(), "open-members")
-    left = stored(_unsettled(stored(_sharing(again, some, percent), "sharing-members")), "open-sharing")
-    rest = left.where("label != main").select("bucket", F.col("cid").alias("x"), F.col("label").alias("x_label"))
-    met = rest.join(left.select("bucket", "cid", "label"), "bucket").where("label != x_label")
-    pairs = met.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
-    more = _links(stored(pairs.join(stars, ["a", "b"], "left_anti"), "other-pairs"), sketches, some, percent)
-
-    labels = stored(components(links.unionAll(more)), "components")
+    named = _named(members.select("bucket", "cid").distinct(), labels)
+    again = stored(_unsettled(stored(named, "labelled-members")).select("cid").distinct(), "open-members")
+    sharing = stored(_sharing(again, some, percent), "sharing-members")
+
+    # over rare shingles, too, first with the smallest member only
+    hubs = sharing.groupBy("bucket").agg(F.min_by(F.struct(F.col("cid").alias("hub"), F.col("n").alias("x_n"), F.col("behind").alias("x_behind")),
+                                                  F.struct("cid", "n", "behind")).alias("h")).select("bucket", "h.*")
+    met = _unsettled(stored(_named(sharing, labels), "sharing-labels")).join(hubs, "bucket").where((F.col("cid") != F.col("hub")) & _reach(percent))
+    met = met.select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
+    known = stored(labels.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(
+        _links(stored(met.join(stars, ["a", "b"], "left_anti"), "star-pairs"), sketches, some, percent)), "star-links")
+    labels = components(known)
+
+    left = stored(_unsettled(stored(_named(sharing, labels), "sharing-labels")), "open-sharing")
+    rest = left.where("label != main").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("cid", "label", "n", "behind")])
+    pairs = rest.join(left.select("bucket", "cid", "label", "n", "behind"), "bucket").where((F.col("label") != F.col("x_label")) & _reach(percent))
+    pairs = pairs.select(F.least("x_cid", "cid").alias("a"), F.greatest("x_cid", "cid").alias("b")).distinct()
+    more = _links(stored(pairs.join(stars.unionAll(met), ["a", "b"], "left_anti"), "other-pairs"), sketches, some, percent)
+
+    labels = stored(components(known.unionAll(more)), "components")
     final = classes.join(labels, F.col("cid") == F.col("node"), "left").select(
         "set_key", "size", F.coalesce("component", "cid").alias("component_id"))
     out = attach(rows.select("doc_id", "n_shingles", "set_key"), stored(final, "class-components"), "set_key", "size", spread="doc_id")
