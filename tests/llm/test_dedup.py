@@ -290,6 +290,54 @@ def test_passage_around_the_anchor_is_one_run():
         assert [(r[0], r[1], r[2], r[3]) for r in passages.common_passages(x, y)] == [(20, 74, 20, 74)]
 
 
+@pytest.mark.parametrize("changes", [0, 1])
+def test_smaller_documents_that_hold_the_keys_hide_no_passage(spark, changes):
+    """Each key of a passage is also in smaller documents without the passage, at which its documents meet first."""
+    rng = np.random.default_rng(31 + changes)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    texts, wanted = [], []
+    for k in range(12):
+        p = new(50 if not changes else 70)
+        q = list(p)
+        for at in rng.choice(len(p), changes, replace=False):
+            q[at] = new(1)[0]
+        both = [passages.Text(" ".join(t).encode(), 46) for t in (p, q)]
+        thieves = []
+        for f in range(passages.HASHES):
+            for key in np.intersect1d(both[0].keys[f], both[1].keys[f]):
+                at = int(np.flatnonzero(both[0].h[f] == key)[0])
+                thieves.append(new(60) + p[at:at + 5] + new(60))
+        if sum(len(np.intersect1d(u, v)) > 0 for u, v in zip(both[0].keys, both[1].keys)) < passages.AGREE:
+            continue
+        texts += [(100 * k + i, " ".join(t)) for i, t in enumerate(thieves)]
+        texts += [(100 * k + 90, " ".join(new(30) + p + new(40))), (100 * k + 91, " ".join(new(80) + q + new(10)))]
+        wanted.append((100 * k + 90, 100 * k + 91))
+    rows = passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert wanted and {(r.doc_id, r.partner_id) for r in rows if r.doc_id < r.partner_id} == set(wanted)
+
+
+def test_a_common_sentence_makes_few_pairs(spark):
+    """Texts that share 30 words have no passage in common; the runs around them meet at one document each."""
+    rng = np.random.default_rng(37)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    sentence = new(30)
+    docs = [passages.Text(" ".join(new(60) + sentence + new(60)).encode(), 46) for _ in range(60)]
+    counts = defaultdict(int)
+    for d in docs:
+        for k in {int(k) for keys in d.keys for k in keys}:
+            counts[k] += 1
+    some = np.array([k for k, n in counts.items() if n > 1], np.uint64)
+    tagged = np.concatenate([some & ~passages._F | np.uint64(f) for f in range(passages.HASHES)])
+    hubs, pairs = {}, set()
+    for i, d in enumerate(docs):
+        for k in passages.keys_of_runs(d.s, 46, tagged, tagged).tolist():
+            if hubs.setdefault(k, i) != i:
+                pairs.add((hubs[k], i))
+    assert len(pairs) <= 10 * len(docs)
+    texts = [(i, b" ".join(d.words).decode()) for i, d in enumerate(docs)]
+    assert passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).count() == 0
+
+
 def test_first_shingles_meet_whatever_passages_are_shared(spark):
     rng = random.Random(12)
     passage = prose(rng, 80)
