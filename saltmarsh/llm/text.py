@@ -68,7 +68,11 @@ def word_hashes(text: bytes, size: int = PIECE) -> np.ndarray:
 
 def shingles(text: bytes, width: int = WIDTH, size: int = PIECE) -> np.ndarray:
     """Hash of every window of ``width`` words in order; one for all words if there are fewer; none without words."""
-    h = word_hashes(text, size)
+    return chained(word_hashes(text, size), width)
+
+
+def chained(h: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """The same from the hashes of all words."""
     if not len(h):
         return h
     w = min(width, len(h))
