@@ -5,10 +5,12 @@ smallest ids, so a vector copied a billion times costs as much as a single one.
 
 * If the distinct data vectors are few (size checked), they are broadcast and every task
   streams its queries past them.
-* Beyond that size the data is cut into cells around pivots and into bounded chunks ordered by
-  the distance to the pivot. A query first looks into the chunk closest to it, which bounds the
-  distance of its k-th neighbour, and then only into chunks which the triangle inequality cannot
-  rule out. Per (query, chunk) only ``k`` candidates leave the task.
+* Beyond that size both sides are laid out around pivots and packed into pieces, each with the ball
+  that holds it. Groups of pieces meet in a grid, so a vector moves once per group of the other
+  side and a task holds two groups of bounded size. Inside a meeting the pieces closest to the queries
+  come first; the triangle inequality rules out pieces and queries that cannot come closer than the
+  k-th neighbour so far, a rough score rules out most of the rest, and what is left is measured
+  exactly. Per query and meeting only ``k`` candidates leave the task.
 """
 
 from __future__ import annotations
@@ -23,9 +25,13 @@ from pyspark.sql import functions as F
 from ..session import durable, ship_package
 from .ordering import PART, POS, lay_out
 
-BROADCAST_BYTES = 64 << 20
-CHUNK_ROWS = 2048
-QUERY_ROWS = 4096
+BROADCAST_BYTES = 8 << 20
+#: rows of a piece of the data and of the queries, and bytes of the vectors of one side of a meeting
+CHUNK_ROWS = 1024
+QUERY_ROWS = 1024
+GROUP_BYTES = 16 << 20
+#: candidates measured at once, and rows of a rough score
+EXACT_PAIRS, ROUGH_ROWS = 1 << 16, 256
 SLACK = 1e-9
 
 
@@ -48,24 +54,93 @@ def _distances(data: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
     return np.abs(diff).sum(axis=1) if metric == "manhattan" else np.sqrt((diff * diff).sum(axis=1))
 
 
-def _nearest(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int, metric: str) -> Iterator[tuple]:
-    """Per query row: positions and exact distances of its k nearest, ties by id."""
-    norms = (data * data).sum(axis=1)
-    for start in range(0, len(queries), 256):
-        block = queries[start:start + 256]
-        rough = None
+def _edges(rough: np.ndarray, known: np.ndarray, k: int, slack: np.ndarray) -> np.ndarray:
+    """Per row the rough score up to which a column may be among the k nearest: from the k-th so far where there is one."""
+    new = np.flatnonzero(known == np.inf)
+    if len(new) and rough.shape[1] > k:
+        known = known.copy()
+        known[new] = np.partition(rough[new], k - 1, axis=1)[:, k - 1] + slack[new]
+    return known + slack
+
+
+def _at(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the true values; one flat search is several times as fast as one by axes."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+
+def _candidates(q: np.ndarray, data: np.ndarray, center: np.ndarray, kth: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (query, row) that a rough score in single precision cannot rule out; what it cannot compare stays.
+
+    Both sides are moved to the ``center`` of the data, where their differences are large against their sizes.
+    """
+    rows, columns, dim = [], [], data.shape[1]
+    norm = (lambda m: (m * m).sum(axis=1)) if metric == "euclidean" else (lambda m: np.abs(m).sum(axis=1))
+    moved = data - center
+    size, lost = norm(moved), norm(data).max() * 1e-15 * (dim + 8)  # digits lost by moving
+    if metric == "euclidean":  # the squared distance less the query's own square
+        table = np.column_stack([-2.0 * moved, size]).astype(np.float32).T
+    else:  # half the distance, less half the query's sum: the sum of max(x, y) less half the row's sum
+        table, shift = np.ascontiguousarray(moved.T, dtype=np.float32), (moved.sum(axis=1) / 2).astype(np.float32)
+        score, step = (np.empty((min(ROUGH_ROWS, len(q)), len(data)), np.float32) for _ in range(2))
+    for at in range(0, len(q), ROUGH_ROWS):
+        some, far = q[at:at + ROUGH_ROWS] - center, kth[at:at + ROUGH_ROWS]
+        own = norm(some)
         if metric == "euclidean":
-            rough = norms[None, :] - 2.0 * block @ data.T
-        for i, q in enumerate(block):
-            if rough is not None and len(data) > 4 * k:
-                # the rough scores only preselect; slack covers their rounding
-                edge = np.partition(rough[i], k - 1)[k - 1] + SLACK * (1.0 + norms.max() + q @ q)
-                pick = np.flatnonzero(rough[i] <= edge)
-            else:
-                pick = np.arange(len(data))
-            dist = _distances(data[pick], q, metric)
-            order = np.lexsort((ids[pick], dist))[:k]
-            yield start + i, pick[order], dist[order]
+            rough = np.column_stack([some, np.ones(len(some))]).astype(np.float32) @ table
+            known = far * far * (1 + SLACK) - own
+        else:
+            narrow, rough, more = some.astype(np.float32), score[:len(some)], step[:len(some)]
+            rough[:] = -shift
+            for d in range(dim):
+                rough += np.maximum(narrow[:, d, None], table[d], out=more)
+            known = (far * (1 + SLACK) + some.sum(axis=1)) / 2
+        slack = 2.0**-22 * (dim + 8) * (own + size.max()) + lost + norm(q[at:at + ROUGH_ROWS]) * 1e-15 * (dim + 8)
+        i, j = _at(~(rough > _edges(rough, known, k, slack).astype(np.float32)[:, None]))
+        rows.append(i + at)
+        columns.append(j)
+    return np.concatenate(rows), np.concatenate(columns)
+
+
+def _measured(q: np.ndarray, data: np.ndarray, i: np.ndarray, j: np.ndarray, metric: str) -> np.ndarray:
+    """Exact distances of the pairs."""
+    out = np.empty(len(i))
+    for at in range(0, len(i), EXACT_PAIRS):
+        out[at:at + EXACT_PAIRS] = _distances(q[i[at:at + EXACT_PAIRS]], data[j[at:at + EXACT_PAIRS]], metric)
+    return out
+
+
+def _ball(data: np.ndarray, metric: str) -> tuple[np.ndarray, float]:
+    center = data.mean(axis=0)
+    return center, float(_distances(data, center, metric).max())
+
+
+def _nearest(q: np.ndarray, pieces: Sequence[tuple], k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``q``, id, exact distance) of the k nearest rows of all pieces ``(ids, vectors, ball)``, ties by id."""
+    away = np.stack([_distances(q, center, metric) for _, _, (center, _) in pieces])
+    low = away * (1 - SLACK) - np.array([r for _, _, (_, r) in pieces])[:, None] * (1 + SLACK)
+    kth = np.full(len(q), np.inf)
+    found, waiting = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)), []
+
+    def settle():
+        row, vid, dist = (np.concatenate(c) for c in zip(found, *waiting))
+        order = np.lexsort((vid, dist, row))
+        row, vid, dist = row[order], vid[order], dist[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        last = rank == k - 1
+        kth[row[last]] = dist[last]
+        return tuple(c[rank < k] for c in (row, vid, dist))
+
+    for p in np.argsort(low.min(axis=1)):
+        open_rows = np.flatnonzero(~(low[p] > kth))
+        if not len(open_rows):
+            continue
+        ids, data, (center, _) = pieces[p]
+        with np.errstate(over="ignore", invalid="ignore"):
+            i, j = _candidates(q[open_rows], data, center, kth[open_rows], k, metric)
+            waiting.append((open_rows[i], ids[j], _measured(q, data, open_rows[i], j, metric)))
+        if 2 * sum(len(w[0]) for w in waiting) >= len(q) * k:
+            found, waiting = settle(), []
+    return settle() if waiting else found
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -86,127 +161,89 @@ def _broadcast_search(queries: DataFrame, data: DataFrame, k: int, metric: str)
     flat = table.column("vec").combine_chunks()
     matrix = np.asarray(flat.flatten()).reshape(len(ids), -1)
     shared = queries.sparkSession.sparkContext.broadcast((ids, matrix))
+    query_rows, chunk_rows = QUERY_ROWS, CHUNK_ROWS
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, data_rows = shared.value
+        known, rows = shared.value
+        cuts = [slice(at, at + chunk_rows) for at in range(0, len(known), chunk_rows)]
+        pieces = [(known[c], rows[c], _ball(rows[c], metric)) for c in cuts]
         for pdf in batches:
-            if not len(pdf):
-                continue
-            q, n, d = [], [], []
-            qid = pdf["qid"].to_numpy()
-            for i, pick, dist in _nearest(_matrix(pdf["vec"]), data_rows, known, k, metric):
-                q.append(np.repeat(qid[i], len(pick)))
-                n.append(known[pick])
-                d.append(dist)
-            yield pd.DataFrame({"qid": np.concatenate(q), "vid": np.concatenate(n), "distance": np.concatenate(d)})
+            for at in range(0, len(pdf) if pieces else 0, query_rows):
+                some = pdf.iloc[at:at + query_rows]
+                i, vid, dist = _nearest(_matrix(some["vec"]), pieces, k, metric)
+                yield pd.DataFrame({"qid": some["qid"].to_numpy()[i], "vid": vid, "distance": dist})
 
     return queries.mapInPandas(search, "qid long, vid long, distance double")
 
 
 def _assign(df: DataFrame, key: str, pivots: np.ndarray, metric: str) -> DataFrame:
-    """Cell (nearest pivot) and distance to it."""
+    """Cell (nearest pivot) and distance to it, both of them only to bring close rows together."""
     shared = df.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                d = np.stack([_distances(shared.value, v, metric) for v in _matrix(pdf["vec"])])
+                rows = _matrix(pdf["vec"])
+                d = np.stack([_distances(rows, p, metric) for p in shared.value], axis=1)
                 cell = d.argmin(axis=1)
                 yield pdf.assign(cell=cell.astype(np.int32), r=d[np.arange(len(d)), cell])
 
     return df.select(key, "vec").mapInPandas(run, f"{key} long, vec array<double>, cell int, r double")
 
 
-def _assign_queries(queries: DataFrame, pivots: np.ndarray, extent: np.ndarray, metric: str) -> DataFrame:
-    """Home cell, an upper bound of the k-th distance, and the cells a neighbour may lie in.
+def _grid(n: int, dim: int, rows: int, slots: int) -> int:
+    """Number of groups of a side: of at most ``GROUP_BYTES`` each, and enough of them to keep the task slots busy."""
+    return max(1, -(-n * dim * 8 // GROUP_BYTES), min(-(-n // rows), int((8 * slots) ** 0.5)))
 
-    ``extent`` holds per cell the smallest and largest pivot distance of its rows and a radius that
-    holds at least k of them. Each cell comes with a lower bound of the distance to any of its rows.
-    """
-    between = np.stack([_distances(pivots, p, metric) for p in pivots])
-    shared = queries.sparkSession.sparkContext.broadcast((pivots, extent, between))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p, (lo, hi, holds_k), apart = shared.value
-        for pdf in batches:
-            homes, bounds, nears = [], [], []
-            for v in _matrix(pdf["vec"]) if len(pdf) else []:
-                d = _distances(p, v, metric)
-                home = int(d.argmin())
-                upper = float((d + holds_k).min())
-                low = np.maximum(np.maximum(d - hi, lo - d), 0.0)
-                if metric == "euclidean":  # rows of another cell lie beyond the plane between the pivots
-                    plane = (d * d - d[home] ** 2) / (2 * np.where(apart[home] > 0, apart[home], np.inf))
-                else:
-                    plane = (d - d[home]) / 2
-                low = np.maximum(low, plane - SLACK * (1 + d))
-                keep = np.flatnonzero(low <= upper * (1 + SLACK) + SLACK)
-                homes.append(home)
-                bounds.append(upper)
-                nears.append([{"cell": int(c), "d": float(d[c]), "low": float(low[c])} for c in keep])
-            yield pdf.assign(cell=np.array(homes, dtype=np.int32), r=0.0, upper=np.array(bounds, dtype=float), near=nears)
-
-    schema = "qid long, vec array<double>, cell int, r double, upper double, near array<struct<cell:int,d:double,low:double>>"
-    found = queries.select("qid", "vec").mapInPandas(run, schema)
-    return found.withColumn("r", F.get(F.filter("near", lambda s: s["cell"] == F.col("cell")), F.lit(0))["d"])
-
-
-def _probe(pairs: DataFrame, chunks: DataFrame, k: int, metric: str) -> DataFrame:
-    """Search the given (query, chunk) pairs; both sides of every task are bounded in size."""
-    key = ["cell", PART, "blk"]
-    load = pairs.groupBy(*key).agg(F.ceil(F.count("*") / QUERY_ROWS).alias("n_salt"))
-    probes = pairs.join(load, key).withColumn("salt", F.pmod(F.xxhash64("qid"), F.col("n_salt"))).drop("n_salt")
-    rows = chunks.join(load, key).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1))).drop("n_salt")
-    key = [*key, "salt"]
-
-    def search(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(q) and len(d):
-            ids, qid = d["vid"].to_numpy(), q["qid"].to_numpy()
-            for i, pick, dist in _nearest(_matrix(q["vec"]), _matrix(d["vec"]), ids, k, metric):
-                out.append(pd.DataFrame({"qid": qid[i], "vid": ids[pick], "distance": dist}))
-        return pd.concat(out) if out else pd.DataFrame({"qid": [], "vid": [], "distance": []})
-
-    return (probes.select(*key, "qid", "vec").groupBy(*key)
-            .cogroup(rows.select(*key, "vid", "vec").groupBy(*key))
-            .applyInPandas(search, "qid long, vid long, distance double"))
-
-
-def _pivot_search(queries: DataFrame, data: DataFrame, n_data: int, k: int, metric: str) -> DataFrame:
+def _pieces(df: DataFrame, key: str, pivots: np.ndarray, metric: str, rows: int, groups: int) -> DataFrame:
+    """``(grp, ids, vecs)``: the rows around each pivot by their distance to it, ``rows`` at a time, as bytes."""
+    laid = lay_out(_assign(df, key, pivots, metric), ["cell", "r", key]).select(
+        PART, F.floor(F.col(POS) / rows).alias("blk"), F.col(key).alias("id"), "vec")
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({PART: pdf[PART].iloc[:1], "blk": pdf["blk"].iloc[:1], "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
+                             "vecs": [_matrix(pdf["vec"]).tobytes()]})
+
+    packed = laid.groupBy(PART, "blk").applyInPandas(pack, f"{PART} long, blk long, ids binary, vecs binary")
+    return packed.select(F.pmod(F.col(PART) + F.col("blk"), F.lit(groups)).cast("int").alias("grp"), "ids", "vecs")
+
+
+def _meetings(asked: DataFrame, n_asked: int, known: DataFrame, n_known: int) -> DataFrame:
+    """Every group of ``asked`` beside every group of ``known``, the packed rows of both told apart by ``side``."""
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = asked.withColumnRenamed("grp", "a").withColumn("b", every(n_known)).withColumn("side", F.lit(0))
+    b = known.withColumnRenamed("grp", "b").withColumn("a", every(n_asked)).withColumn("side", F.lit(1))
+    return a.unionByName(b).repartition(n_asked * n_known, "a", "b")
+
+
+def _unpacked(pdf: pd.DataFrame, side: int, *more: str) -> list[tuple]:
+    """(ids, vectors, further columns) of the packed rows of one side."""
+    out = []
+    for ids, vecs, *rest in pdf.loc[pdf["side"] == side, ["ids", "vecs", *more]].itertuples(index=False):
+        ids = np.frombuffer(ids, np.int64)
+        out.append((ids, np.frombuffer(vecs).reshape(len(ids), -1), *(np.frombuffer(x, np.int64) for x in rest)))
+    return out
+
+
+def _grid_search(queries: DataFrame, n_queries: int, data: DataFrame, n_data: int, dim: int, k: int, metric: str) -> DataFrame:
     n_pivots = int(min(1024, max(8, n_data**0.5 / 4)))
     rows = data.select("vec").orderBy(F.xxhash64("vid"), "vid").limit(n_pivots).toArrow()
     pivots = np.asarray(rows.column("vec").combine_chunks().flatten()).reshape(rows.num_rows, -1)
+    slots = data.sparkSession.sparkContext.defaultParallelism
+    n_a, n_b = _grid(n_queries, dim, QUERY_ROWS, slots), _grid(n_data, dim, CHUNK_ROWS, slots)
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pieces = [(ids, rows, _ball(rows, metric)) for ids, rows in _unpacked(pdf, 1)]
+        out = [pd.DataFrame({"qid": np.empty(0, np.int64), "vid": np.empty(0, np.int64), "distance": np.empty(0)})]
+        for qids, q in _unpacked(pdf, 0) if pieces else []:
+            i, vid, dist = _nearest(q, pieces, k, metric)
+            out.append(pd.DataFrame({"qid": qids[i], "vid": vid, "distance": dist}))
+        return pd.concat(out)
 
-    laid = lay_out(_assign(data, "vid", pivots, metric), ["cell", "r", "vid"])
-    chunks = laid.withColumn("blk", F.floor(F.col(POS) / CHUNK_ROWS)).drop(POS)
-    rings = durable(chunks.groupBy("cell", PART, "blk").agg(
-        F.min("r").alias("lo"), F.max("r").alias("hi"), F.count("*").alias("n")))
-    # three numbers per pivot; every pivot is a data row, so no cell is empty
-    cells = rings.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                                      F.min(F.when(F.col("n") >= k, F.col("hi"))).alias("k")).collect()
-    extent = np.full((3, len(pivots)), np.inf)
-    for c in cells:
-        extent[:, c["cell"]] = c["lo"], c["hi"], np.inf if c["k"] is None else c["k"]
-    q = durable(_assign_queries(queries, pivots, extent, metric))
-
-    # first look: the home-cell chunk nearest to the query gives a first k-th distance
-    gap = F.greatest(F.col("r") - F.col("hi"), F.col("lo") - F.col("r"), F.lit(0.0))
-    home = q.select("qid", "cell", "r").join(rings, "cell").groupBy("qid").agg(
-        F.min_by(F.struct("cell", PART, "blk"), F.struct(gap, F.col(PART), F.col("blk"))).alias("c")).select("qid", "c.*")
-    home = durable(home)
-    first = durable(_probe(home.join(q.select("qid", "vec"), "qid"), chunks, k, metric))
-    bound = first.groupBy("qid").agg(F.max("distance").alias("kth"), F.count("*").alias("n")).select(
-        "qid", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
-
-    # second look: every other chunk whose ring may hold something at most as far away
-    near = q.join(bound, "qid", "left").select(
-        "qid", "vec", F.least("upper", F.coalesce("kth", "upper")).alias("kth"), F.explode("near").alias("c"))
-    reach = F.col("kth") * (1 + SLACK) + SLACK
-    near = near.where(F.col("c.low") <= reach).select("qid", "vec", "kth", "c.cell", "c.d")
-    second = near.join(rings, "cell").where(
-        (F.col("d") - F.col("hi") <= reach) & (F.col("lo") - F.col("d") <= reach))
-    second = second.select("qid", "vec", "cell", PART, "blk").join(home, ["qid", "cell", PART, "blk"], "left_anti")
-    return first.unionByName(_probe(second, chunks, k, metric))
+    met = _meetings(_pieces(queries, "qid", pivots, metric, QUERY_ROWS, n_a), n_a,
+                    _pieces(data, "vid", pivots, metric, CHUNK_ROWS, n_b), n_b)
+    return met.groupBy("a", "b").applyInPandas(search, "qid long, vid long, distance double")
 
 
 def knn_join(
@@ -225,13 +262,16 @@ def knn_join(
     shape = (lambda c: unit_vector(as_vector(c))) if cosine else as_vector
     qs = queries.where(F.col(vector).isNotNull()).select(F.col(query_key).cast("long").alias("id"), shape(F.col(vector)).alias("vec"))
     ds = data.where(F.col(vector).isNotNull()).select(F.col(data_key).cast("long").alias("id"), shape(F.col(vector)).alias("vec"))
-    distinct_q = qs.groupBy("vec").agg(F.min("id").alias("qid"))
+    distinct_q = durable(qs.groupBy("vec").agg(F.min("id").alias("qid")))
     distinct_d = durable(_distinct_vectors(ds, "id", "vec", k))
     size = distinct_d.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
     if size["n"] * (size["dim"] or 1) * 8 <= limit:
         found = _broadcast_search(distinct_q, distinct_d, k, metric)
     else:
-        found = _pivot_search(distinct_q, distinct_d, size["n"], k, metric)
+        found = _grid_search(distinct_q, distinct_q.count(), distinct_d, size["n"], size["dim"], k, metric)
+    # ``vid`` is the smallest id of its vector, so the k nearest ids are among those of the k first vectors
+    first = Window.partitionBy("qid").orderBy("distance", "vid")
+    found = found.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= k).drop("_r")
     # equal vectors back to their ids, then the best k per query vector
     listed = found.join(distinct_d.select("vid", "ids"), "vid").select(
         "qid", "distance", F.explode("ids").alias("neighbor"))

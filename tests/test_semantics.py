@@ -174,6 +174,31 @@ def test_knn_equals_brute_force_with_many_copies(spark, metric, limit, monkeypat
     assert got == brute(rows, rows, 4, metric)
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_knn_search_needs_no_memory_that_grows_with_the_data(metric):
+    """Pieces are looked at one by one; those that lie too far away are never scored."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(20_000, 16)) + np.repeat(np.arange(20), 1000)[:, None] * 100.0
+    pieces = [(np.arange(at, at + 1000), data[at:at + 1000], knn._ball(data[at:at + 1000], metric)) for at in range(0, len(data), 1000)]
+    q = data[5000:5500] + 0.1
+    tracemalloc.start()
+    row, vid, dist = knn._nearest(q, pieces, 3, metric)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 << 20
+    for i in (0, 17, 499):
+        d = np.abs(data - q[i]).sum(axis=1) if metric == "manhattan" else np.sqrt(((data - q[i]) ** 2).sum(axis=1))
+        best = np.lexsort((np.arange(len(data)), d))[:3]
+        assert vid[row == i].tolist() == best.tolist() and dist[row == i] == pytest.approx(d[best])
+
+
+def test_knn_groups_that_meet_are_bounded():
+    for n in (10, 100_000, 10_000_000):
+        groups = knn._grid(n, 64, knn.CHUNK_ROWS, 12)
+        assert n * 64 * 8 / groups <= knn.GROUP_BYTES and groups <= max(10, 1 + n * 64 * 8 // knn.GROUP_BYTES)
+
+
 def test_knn_with_fewer_rows_than_k(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0])], "id long, v array<double>")
     for limit in (0, 1 << 30):
