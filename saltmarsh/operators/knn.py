@@ -326,39 +326,63 @@ def codebook_histogram(df: DataFrame, centroids: DataFrame, *, key: str, item: s
     return near.join(df.select(key, item), key).groupBy(item, F.col("neighbor").alias(word)).agg(F.count("*").alias("n"))
 
 
-def silhouette_euclidean(df: DataFrame, key: str, vector: str, label: str, block_rows: int = 4096) -> DataFrame:
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all pairs; short ones, where the product loses digits, are measured one by one."""
+    origin = b.mean(axis=0)
+    x, y = a - origin, b - origin
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    squares = np.column_stack([x, xx, np.ones(len(x))]) @ np.column_stack([-2.0 * y, np.ones(len(y)), yy]).T
+    i, j = _at(~(squares > (1e-4 * (xx + yy.max()))[:, None]))
+    squares[i, j] = 0.0
+    out = np.sqrt(squares, out=squares)
+    out[i, j] = _measured(a, b, i, j, "euclidean")
+    return out
+
+
+def silhouette_euclidean(df: DataFrame, key: str, vector: str, label: str, block_rows: int | None = None) -> DataFrame:
     """Mean silhouette under plain Euclidean distance; -1 with fewer than two labels, 0 for a row alone in its cluster.
 
     The measure needs the distance of every pair of rows. Rows are packed into blocks, every block meets
     every block once in a grid, and a meeting gives one sum per row and cluster; sums are added up by
     Spark. Work grows with the square of the rows, as the measure does; memory does not: a task holds two
-    blocks. ``silhouette`` is the linear alternative. Rows with a null label are left out.
+    blocks, of ``GROUP_BYTES`` each at most unless ``block_rows`` is given. ``silhouette`` is the linear
+    alternative. Rows with a null label are left out.
     """
     ship_package(df.sparkSession)
     rows = durable(df.where(F.col(label).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("c"), as_vector(F.col(vector)).alias("vec")))
-    blocks = max(1, -(-rows.count() // block_rows))
-    packed = durable(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("block").agg(
-        F.collect_list(F.struct("id", "c", "vec")).alias("rows")))
-    asked = packed.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("rows").alias("asked"))
-    meetings = asked.join(packed, "block").select("asked", "rows")
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def parts(rows):
-            return (np.array([r["id"] for r in rows]), np.array([r["c"] for r in rows]), np.array([r["vec"] for r in rows], dtype=float))
-        for pdf in batches:
-            for asked_rows, data_rows in zip(pdf["asked"], pdf["rows"]):
-                (ids, own, a), (_, c, b) = parts(asked_rows), parts(data_rows)
-                names, code = np.unique(c, return_inverse=True)
-                member = np.zeros((len(c), len(names)))
-                member[np.arange(len(c)), code] = 1.0
-                for at in range(0, len(a), 256):
-                    some = a[at:at + 256]
-                    total = np.stack([_distances(b, v, "euclidean") for v in some]) @ member
-                    yield pd.DataFrame({"id": np.repeat(ids[at:at + 256], len(names)), "own": np.repeat(own[at:at + 256], len(names)),
-                                        "c": np.tile(names, len(some)), "s": total.ravel()})
-
-    per = meetings.mapInPandas(sums, "id long, own long, c long, s double").groupBy("id", "own", "c").agg(F.sum("s").alias("s"))
+    size = rows.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    blocks = max(1, -(-size["n"] // block_rows)) if block_rows else _grid(
+        size["n"], size["dim"] or 1, CHUNK_ROWS, df.sparkSession.sparkContext.defaultParallelism)
+    piece_rows = CHUNK_ROWS
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("c")
+        parts = [pdf.iloc[at:at + piece_rows] for at in range(0, len(pdf), piece_rows)]
+        return pd.DataFrame({"grp": pdf["grp"].iloc[0], "ids": [p["id"].to_numpy(np.int64).tobytes() for p in parts],
+                             "c": [p["c"].to_numpy(np.int64).tobytes() for p in parts], "vecs": [_matrix(p["vec"]).tobytes() for p in parts]})
+
+    # ids only tell rows apart: those without one stay together as they would in a group
+    packed = durable(rows.withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn(
+        "id", F.coalesce("id", F.lit(-1 << 63))).groupBy("grp").applyInPandas(pack, "grp int, ids binary, c binary, vecs binary"))
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        known = _unpacked(pdf, 1, "c")
+        names = np.unique(np.concatenate([c for _, _, c in known])) if known else np.empty(0, np.int64)
+        out = [pd.DataFrame({"id": np.empty(0, np.int64), "own": np.empty(0, np.int64), "c": np.empty(0, np.int64), "s": np.empty(0)})]
+        for ids, a, own in _unpacked(pdf, 0, "c"):
+            total = np.zeros((len(ids), len(names)))
+            for _, b, c in known:  # ascending labels
+                start = np.flatnonzero(np.diff(c, prepend=c[0] - 1))
+                place = np.searchsorted(names, c[start])
+                for at in range(0, len(a), ROUGH_ROWS):
+                    total[at:at + ROUGH_ROWS, place] += np.add.reduceat(_lengths(a[at:at + ROUGH_ROWS], b), start, axis=1)
+            out.append(pd.DataFrame({"id": np.repeat(ids, len(names)), "own": np.repeat(own, len(names)),
+                                     "c": np.tile(names, len(ids)), "s": total.ravel()}))
+        return pd.concat(out)
+
+    met = _meetings(packed, blocks, packed, blocks).groupBy("a", "b")
+    per = met.applyInPandas(sums, "id long, own long, c long, s double").groupBy("id", "own", "c").agg(F.sum("s").alias("s"))
     sizes = rows.groupBy("c").agg(F.count("*").alias("n"))
     mean = F.col("s") / F.when(F.col("c") == F.col("own"), F.nullif(F.col("n") - 1, F.lit(0))).otherwise(F.col("n"))
     ends = per.join(sizes, "c").groupBy("id").agg(F.min(F.when(F.col("c") == F.col("own"), mean)).alias("a"), F.min(F.when(F.col("c") != F.col("own"), mean)).alias("b"))

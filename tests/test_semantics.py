@@ -199,6 +199,13 @@ def test_knn_groups_that_meet_are_bounded():
         assert n * 64 * 8 / groups <= knn.GROUP_BYTES and groups <= max(10, 1 + n * 64 * 8 // knn.GROUP_BYTES)
 
 
+def test_short_lengths_keep_their_digits():
+    a = np.array([[1e6, 1.0], [1e6, 1.0 + 1e-6], [1e6 + 1, 1.0]])
+    b = np.vstack([a, [[-1e6, 0.0]]])
+    want = np.array([[math.dist(x, y) for y in b] for x in a])
+    assert knn._lengths(a, b) == pytest.approx(want, rel=1e-9, abs=0)
+
+
 def test_knn_with_fewer_rows_than_k(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0])], "id long, v array<double>")
     for limit in (0, 1 << 30):
