@@ -114,7 +114,14 @@ scored AS (SELECT *, r + f + m AS rfm_score FROM (SELECT rolled.*,
 def invoice_lines(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).drop("l_orderkey", "o_orderkey")
+
+
+def stored_lines(spark, sf):
+    """The invoice lines joined once and stored by column; fitting and scoring read them several times."""
+    path = scratch_path(spark, "invoice-lines")
+    invoice_lines(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def segmentation_stages():
@@ -126,7 +133,7 @@ def segmentation_stages():
 @query("rfm_fitted", SEGMENT_SQL + f" SELECT {ROLLED}, r, f, m, rfm_score FROM scored")
 def rfm_fitted(spark, sf):
     """Last date, best products and quartiles of the years before 2000 score the customers of all years."""
-    lines = invoice_lines(spark, sf)
+    lines = stored_lines(spark, sf)
     return tidy_rolled(fit_apply(spark, segmentation_stages(), lines.where("o_orderdate < timestamp '2000-01-01'"), lines))
 
 
@@ -138,5 +145,5 @@ def segmentation_pipeline(spark, sf):
     columns = ["months_active", "price_per_month", "quantity_per_month", "rfm_score"]
     stages = [*segmentation_stages(), fitted.Scale(columns, "minmax"), VectorAssembler(inputCols=columns, outputCol="features"),
               KMeans(k=5, seed=42, featuresCol="features", predictionCol="segment")]
-    lines = invoice_lines(spark, sf)
+    lines = stored_lines(spark, sf)
     return fit_apply(spark, stages, lines.where("o_orderdate < timestamp '2000-01-01'"), lines).select("o_custkey", "segment")

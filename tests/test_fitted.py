@@ -229,3 +229,11 @@ def test_random_baseline_has_the_share_of_the_data(spark):
     df = spark.range(4000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
     assert models.baseline_random(df, "id", "y").agg(F.avg("action").alias("a")).first().a == pytest.approx(0.1, abs=0.02)
     assert models.baseline_random(df.where("y = 0"), "id", "y").agg(F.sum("action").alias("a")).first().a == 0
+
+
+def test_invoice_lines_are_joined_once(spark, sf):
+    """Fitting and scoring read the stored lines; none of them joins orders and lines again."""
+    from saltmarsh.plans.fitted import invoice_lines, stored_lines
+    lines = stored_lines(spark, sf)
+    assert "Join" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, lines.collect()), key=repr) == sorted(map(tuple, invoice_lines(spark, sf).collect()), key=repr)
