@@ -152,13 +152,15 @@ class _Sets:
 
 def _entries(batches):
     for batch in batches:
-        ids = batch.column("doc_id")
-        sets = [shingle_set(t) for t in texts_of(batch.column("text"))]
-        sizes = np.array([len(x) for x in sets], np.int64)
-        names = np.array([int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in sets], np.int64)
-        row = np.repeat(np.arange(len(sets)), sizes)
-        h = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(names[row]), pa.array(sizes[row]), pa.array(h)], ["cid", "set", "n", "h"])
+        for at in range(0, batch.num_rows, 256):  # a batch of texts has far more shingles than rows
+            part = batch.slice(at, 256)
+            ids = part.column("doc_id")
+            sets = [shingle_set(t) for t in texts_of(part.column("text"))]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            names = np.array([int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) for x in sets], np.int64)
+            row = np.repeat(np.arange(len(sets)), sizes)
+            h = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(names[row]), pa.array(sizes[row]), pa.array(h)], ["cid", "set", "n", "h"])
 
 
 def _unsettled(named: DataFrame) -> DataFrame:

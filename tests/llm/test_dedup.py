@@ -385,3 +385,14 @@ def test_near_duplicates_among_documents_that_share_a_passage(spark):
                 parent[b] = a
     got = near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: root(i) for i in range(len(docs))}
+
+
+def test_shingle_entries_leave_a_batch_of_texts_in_small_parts():
+    import pyarrow as pa
+    from saltmarsh.llm import near_dup
+    texts = [" ".join(f"w{i}x{k}" for k in range(50)) for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    parts = list(near_dup._entries([batch]))
+    assert max(p.num_rows for p in parts) <= 256 * 46
+    whole = pa.Table.from_batches(parts)
+    assert whole.num_rows == 46_000 and whole.column("cid").to_pylist() == [i for i in range(1000) for _ in range(46)]
