@@ -316,6 +316,47 @@ def test_smaller_documents_that_hold_the_keys_hide_no_passage(spark, changes):
     assert wanted and {(r.doc_id, r.partner_id) for r in rows if r.doc_id < r.partner_id} == set(wanted)
 
 
+def test_smaller_documents_that_hold_whole_runs_of_keys_hide_no_near_passage(spark):
+    """Every 30 words of a changed passage are also in a smaller document that shares no 50 of them."""
+    rng = np.random.default_rng(43)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    texts, wanted = [], []
+    for k in range(12):
+        p = new(70)
+        q = [*p[:35], *new(1), *p[36:]]
+        texts += [(100 * k + i, " ".join(new(60) + t[i:i + 30] + new(60))) for t in (p, q) for i in range(0, 41, 5)]
+        texts += [(100 * k + 50 + i, " ".join(new(60) + q[i:i + 30] + new(60))) for i in range(0, 41, 5)]
+        texts += [(100 * k + 98, " ".join(new(30) + p + new(40))), (100 * k + 99, " ".join(new(80) + q + new(10)))]
+        both = [passages.Text(" ".join(t).encode(), 46) for t in (p, q)]
+        if sum(len(np.intersect1d(u, v)) > 0 for u, v in zip(both[0].keys, both[1].keys)) >= passages.AGREE:
+            wanted.append((100 * k + 98, 100 * k + 99))
+    texts = list(dict(texts).items())
+    rows = passages.repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert len(wanted) > 9 and {(r.doc_id, r.partner_id) for r in rows if r.doc_id < r.partner_id} == set(wanted)
+
+
+def test_neighbours_at_a_crowded_key_are_those_with_most_words_in_common():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(47)
+    common = rng.integers(0, 2**64, 46, np.uint64)
+    rows = []
+    for doc in range(40):
+        w = rng.integers(0, 2**64, 120, np.uint64)
+        w[50:62] = common[20:32]  # a short sentence
+        if doc in (3, 31):
+            w[30:76] = common
+        s = passages.chained(w)
+        key = passages.mix(s[50:51] ^ passages._SEEDS[0]) & ~passages._F
+        rows += [(int(k.view(np.int64)), doc, doc > 2, bytes(a), bytes(b)) for k, a, b in zip(*passages.places_around(w, s, key, doc))]
+    assert len(rows) == 40
+    for side in (3, 4):
+        part = sorted(rows, key=lambda r: (r[0], r[side], r[1]))
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part[i:i + 7])], ["key", "doc", "open", "behind", "before"]) for i in range(0, 40, 7)]
+        met = [(a, b) for out in passages._neighbours(iter(batches)) for a, b in zip(*(c.to_pylist() for c in out.columns))]
+        assert met == [(3, 31)]
+
+
 def test_a_common_sentence_makes_few_pairs(spark):
     """Texts that share 30 words have no passage in common; the runs around them meet at one document each."""
     rng = np.random.default_rng(37)
