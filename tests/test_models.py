@@ -1,3 +1,5 @@
+import random
+
 """Invariants of the model queries and of the stream."""
 
 import pytest
@@ -39,3 +41,33 @@ def test_linear_fit_matches_closed_form(spark, sf):
     assert fit["k"] == pytest.approx(ols["slope"], abs=1e-9)
     assert fit["intercept"] == pytest.approx(ols["intercept"], abs=1e-9)
     assert FEATURES
+
+
+def test_boosted_trees_on_binned_means_are_those_on_all_rows(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    rng = random.Random(3)
+    rows = [(float(rng.randrange(50)), rng.random(), float(rng.randrange(3))) for _ in range(3000)]
+    df = spark.createDataFrame([(a, b, c, a * b + c + rng.random()) for a, b, c in rows], "a double, b double, c double, y double").repartition(3)
+    cells = models.binned_means(df, ["a", "b", "c"], "y")
+    assert cells.agg({"weight": "sum"}).first()[0] == 3000 and cells.count() <= 32 * 32 * 3
+    model = GBTRegressor(labelCol="y", maxIter=5, maxDepth=3, seed=models.SEED).fit(models.assemble(df, ["a", "b", "c"]))
+    got = {r.feature: r.importance for r in models.tree_importance(df, ["a", "b", "c"], "y", "boosted", trees=5, depth=3).collect()}
+    assert all(abs(got[c] - v) < 1e-9 for c, v in zip("abc", model.featureImportances.toArray()))
+
+
+def test_few_labels_are_added_up_in_columns_as_in_rows(spark, monkeypatch):
+    from saltmarsh.operators import bayes
+
+    rng = random.Random(4)
+    words = spark.createDataFrame([(d, w, rng.randrange(1, 4)) for d in range(30) for w in rng.sample("abcdefgh", 3)] + [(None, "a", 2), (2, None, 1)],
+                                  "doc long, word string, n long")
+    tags = spark.createDataFrame([(d, t) for d in range(20) for t in ("odd" if d % 2 else "even", "all", None if d % 3 else "third")], "doc long, label string")
+    rows = spark.createDataFrame([(d,) for d in [*range(32), 5, None]], "doc long")
+    model = bayes.fit_multilabel(words, tags, "doc")
+    score = lambda: sorted((str(r.doc), r.label, None if r.p is None else round(r.p, 9)) for r in bayes.score_multilabel(words, rows, model, "doc").collect())
+    plan = bayes.score_multilabel(words, rows, model, "doc")._jdf.queryExecution().optimizedPlan().toString()
+    by_columns = score()
+    assert plan.count("Generate") == 1 and len(by_columns) == 34 * 4
+    monkeypatch.setattr(bayes, "WIDE", 0)
+    assert score() == by_columns
