@@ -102,13 +102,18 @@ def univariate_ols(df: DataFrame, x: str, y: str) -> DataFrame:
 BINS, BORDER_ROWS = 32, 10_000
 
 
-def _borders(values: Sequence[float]) -> list[float]:
-    """Between the distinct values, or so that about as many of ``values`` lie in each of ``BINS`` intervals."""
-    counts = sorted(Counter(values).items())
+def _borders(values: Sequence[float], expected: float) -> list[float]:
+    """Between the distinct values, or so that about as many of ``values`` lie in each of ``BINS`` intervals.
+
+    As in ``pyspark.ml``, rows that are missing to the number ``expected`` count as zeros.
+    """
+    found = Counter(v for v in values if v)
+    zeros = expected - sum(found.values())
+    counts = sorted((found | {0.0: zeros} if zeros > 1e-6 else found).items())
     middle = [(a + b) / 2 for (a, _), (b, _) in zip(counts, counts[1:])]
     if len(middle) < BINS:
         return middle
-    out, seen, step = [], 0.0, len(values) / BINS
+    out, seen, step = [], 0.0, expected / BINS
     target = step
     for (_, n), (_, following), border in zip(counts, counts[1:], middle):
         seen += n
@@ -118,6 +123,13 @@ def _borders(values: Sequence[float]) -> list[float]:
     return out
 
 
+def _drawn(rows: DataFrame, share: float) -> DataFrame:
+    """The rows that the trees of ``pyspark.ml`` take their borders from under ``SEED``."""
+    spark = rows.sparkSession
+    seed = spark._jvm.org.apache.spark.util.random.XORShiftRandom(SEED).nextInt()
+    return DataFrame(spark._jsparkSession.createDataFrame(rows._jdf.toJavaRDD().sample(False, share, seed), rows._jdf.schema()), spark)
+
+
 def binned_means(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:
     """The ``columns`` as numbers of intervals, with the mean of ``y`` and the number of rows of each combination that occurs.
 
@@ -127,9 +139,10 @@ def binned_means(df: DataFrame, columns: Sequence[str], y: str) -> DataFrame:
     """
     number = lambda c: F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.raise_error(F.lit(f"{c} has nulls"))).otherwise(F.col(c).cast("double"))
     rows = df.select(*[number(c).alias(c) for c in columns], number(y).alias(y))
-    share = BORDER_ROWS / max(1, df.count())
-    some = (rows.sample(False, share, SEED) if share < 1 else rows).select(*columns).collect()
-    binned = lambda c, i: F.size(F.filter(F.array(*map(F.lit, _borders([r[i] for r in some]))).cast("array<double>"), lambda b: b < F.col(c)))
+    n_rows = df.count()
+    share = BORDER_ROWS / max(1, n_rows)
+    some = (_drawn(rows, share) if share < 1 else rows).select(*columns).collect()
+    binned = lambda c, i: F.size(F.filter(F.array(*map(F.lit, _borders([r[i] for r in some], min(n_rows, BORDER_ROWS)))).cast("array<double>"), lambda b: b < F.col(c)))
     cells = rows.select(*[binned(c, i).cast("double").alias(c) for i, c in enumerate(columns)], y).groupBy(*columns)
     return cells.agg(F.avg(y).alias(y), F.count("*").cast("double").alias("weight"))
 

@@ -1,7 +1,7 @@
-import random
-
 """Invariants of the model queries and of the stream."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
