@@ -225,6 +225,11 @@ def test_document_vectors_of_all_documents(spark):
     assert np.mean([cos(out[i], out[i + 2]) for i in range(200)]) > np.mean([cos(out[i], out[i + 1]) for i in range(200)])
 
 
+def test_document_vectors_take_the_words_from_the_texts_once(spark, sf):
+    from saltmarsh.plans import QUERIES
+    assert "regexp_extract_all" not in QUERIES["doc_vectors"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_random_baseline_has_the_share_of_the_data(spark):
     df = spark.range(4000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
     assert models.baseline_random(df, "id", "y").agg(F.avg("action").alias("a")).first().a == pytest.approx(0.1, abs=0.02)
