@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from saltmarsh.llm import lines, near_dup, passages
@@ -437,3 +438,28 @@ def test_shingle_entries_leave_a_batch_of_texts_in_small_parts():
     assert max(p.num_rows for p in parts) <= 256 * 46
     whole = pa.Table.from_batches(parts)
     assert whole.num_rows == 46_000 and whole.column("cid").to_pylist() == [i for i in range(1000) for _ in range(46)]
+
+
+def test_texts_hashed_together_have_the_keys_of_each_alone(monkeypatch):
+    from saltmarsh.llm import text
+
+    rng = random.Random(11)
+    texts = [bytes(rng.choice(b"abcZ \n\xc3\xa9\x00") for _ in range(rng.randrange(900))) for _ in range(60)]
+    texts += [bytes(rng.randrange(33, 256) for _ in range(k)) for k in range(1, 40)] + [b"", b" ", b"A b", b"x" * 300_000 + b" y"]
+    for size in (1, 500, 1 << 18):
+        got = [np.split(h, np.cumsum(n)[:-1]) for _, h, n in text.grouped_hashes(texts, size)]
+        assert all(np.array_equal(a, text.word_hashes(t)) for t, a in zip(texts, (a for g in got for a in g), strict=True))
+    for w, s, mixed in passages._shingled(texts):
+        assert np.array_equal(s, text.chained(w)) and all(np.array_equal(h, text.mix(s ^ seed)) for h, seed in zip(mixed, passages._SEEDS))
+    _, h, n = max(text.grouped_hashes(texts), key=lambda g: len(g[2]))
+    for least in (2, 8, 46):
+        keys, of = passages.keys_of_all(h, n, least)
+        for i, w in enumerate(np.split(h, np.cumsum(n)[:-1])):
+            want = [k & ~passages._F | np.uint64(f) for f, k in enumerate(passages.keys_of(text.chained(w), least))]
+            assert sorted(keys[of == i].tolist()) == sorted(np.concatenate(want).tolist())
+
+    # the keys of a batch take no look-up of a word on its own
+    known = []
+    monkeypatch.setattr(text, "_known", type("Known", (), {"__getitem__": lambda _, word: known.append(word) or 0})())
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two three " * 30, "four five " * 40])], ["doc_id", "text"])
+    assert {d for out in passages._keys(46)([batch]) for d in out.column("doc").to_pylist()} == {1, 2} and not known
