@@ -21,35 +21,50 @@ ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 SPACE, LETTER, NUMBER, OTHER, APART = range(5)
 KNOWN_WORDS, KNOWN_PAIRS = 300_000, 1_000_000
 
-_classes: list[np.ndarray] = []
+#: code points whose classes are asked for together, as a power of two
+RANGE_BITS = 12
 
+_classes = np.append(np.full(0x110000, OTHER, np.uint8), np.uint8(APART))
+_asked = np.zeros((0x110000 >> RANGE_BITS) + 1, bool)
+_asked[-1] = True
 
-def classes() -> np.ndarray:
-    """Class of every code point; numbers above them, which stand for no text, are each apart.
 
-    Classes are those of the library's own splitter, whatever version of Unicode the interpreter has. The
-    code points behind the first 256 are split as one text: a piece holds neighbours of one class, which
-    is asked for once.
+def _ask(number: int) -> None:
+    """Fill in the classes of a range of code points.
+
+    Those behind the first 256 are split as one text: a piece holds neighbours of one class, which is asked
+    for once.
     """
-    if not _classes:
-        split = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    split = ByteLevel(add_prefix_space=False).pre_tokenize_str
+
+    def kind(c: str) -> int:
+        return next((k for k, known in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")) if len(split(known + c)) == 1), SPACE)
+
+    every = range(number << RANGE_BITS, (number + 1) << RANGE_BITS)
+    rest = np.array([i for i in every if i >= 256 and not 0xD800 <= i < 0xE000], np.int64)
+    for i in range(every.start, min(256, every.stop)):
+        _classes[i] = kind(chr(i))
+    for _, (i, j) in split("".join(map(chr, rest.tolist()))):
+        _classes[rest[i:j]] = kind(chr(rest[j - 1]))
+    _asked[number] = True
 
-        def kind(c: str) -> int:
-            return next((k for k, known in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")) if len(split(known + c)) == 1), SPACE)
 
-        table = np.full(0x110000, OTHER, np.uint8)
-        table[:256] = [kind(chr(i)) for i in range(256)]
-        rest = np.array([i for i in range(256, 0x110000) if not 0xD800 <= i < 0xE000])
-        for _, (i, j) in split("".join(map(chr, rest.tolist()))):
-            table[rest[i:j]] = kind(chr(rest[j - 1]))
-        _classes.append(np.append(table, np.uint8(APART)))
-    return _classes[0]
+def classes(code: np.ndarray | None = None) -> np.ndarray:
+    """Class of every code point, or of those in ``code`` at least; the number above them, which stands for no text, is apart.
+
+    Classes are those of the library's own splitter, whatever version of Unicode the interpreter has. It is
+    asked for a range of code points when the first of them is met.
+    """
+    met = _asked if code is None else np.bincount(code >> RANGE_BITS, minlength=len(_asked)) > 0
+    for number in np.flatnonzero(~_asked & (met | (code is None))).tolist():
+        _ask(number)
+    return _classes
 
 
 def starts_of(code: np.ndarray) -> np.ndarray:
     """Where words begin in an array of code points, as the pattern of byte-level vocabularies cuts them."""
-    table = classes()
-    kind = table[np.minimum(code, len(table) - 1)]
+    code_or_mark = np.minimum(code, 0x110000)
+    kind = classes(code_or_mark)[code_or_mark]
     n = len(code)
     start = np.empty(n, bool)
     start[0] = True

@@ -48,6 +48,10 @@ def scaled_table(counts: np.ndarray) -> np.ndarray:
     return f
 
 
+#: up to here symbols are counted and looked up in arrays that have a place for every number
+DENSE = 1 << 20
+
+
 class Table:
     """Symbols, frequencies and the inverse of their running sum."""
 
@@ -55,12 +59,26 @@ class Table:
         self.symbols, self.freq = symbols.astype(np.uint32), freq.astype(np.uint64)
         self.below = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64)
         self.slot: np.ndarray | None = None
+        self.place: np.ndarray | None = None
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Table:
+        if len(ids) and ids.max() < DENSE:
+            counts = np.bincount(ids)
+            symbols = np.flatnonzero(counts)
+            return cls(symbols, scaled_table(counts[symbols]))
         symbols, counts = np.unique(ids, return_counts=True)
         return cls(symbols, scaled_table(counts))
 
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Index of the symbol of each id."""
+        if self.symbols[-1] >= DENSE:
+            return np.searchsorted(self.symbols, ids)
+        if self.place is None:
+            self.place = np.zeros(int(self.symbols[-1]) + 1, np.int64)
+            self.place[self.symbols] = np.arange(len(self.symbols))
+        return self.place[ids]
+
     def slots(self) -> np.ndarray:
         if self.slot is None:
             self.slot = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
@@ -69,19 +87,20 @@ class Table:
 
 def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES) -> tuple[np.ndarray, np.ndarray]:
     """Words in reading order, and the states to start with."""
-    at = np.searchsorted(table.symbols, ids)
+    at = table.places(ids)
     freq, below = table.freq[at], table.below[at]
+    limit, rest = freq << _U(63 - SCALE_BITS), _U(1 << SCALE_BITS) - freq
     x = np.full(lanes, LOW, np.uint64)
     words: list[np.ndarray] = []
     for row in range((len(ids) - 1) // lanes, -1, -1):
         part = slice(row * lanes, min(len(ids), (row + 1) * lanes))
-        f, state = freq[part], x[: part.stop - part.start]
-        full = state >= f << _U(63 - SCALE_BITS)
-        if full.any():
-            words.append((state[full] & _U(0xFFFFFFFF)).astype(np.uint32))
-            state[full] >>= _U(32)
-        q, r = np.divmod(state, f)
-        state[:] = (q << _U(SCALE_BITS)) + r + below[part]
+        state = x[: part.stop - part.start]
+        full = np.flatnonzero(state >= limit[part])
+        if len(full):
+            out = state[full]
+            words.append(out.astype(np.uint32))
+            state[full] = out >> _U(32)
+        state += state // freq[part] * rest[part] + below[part]  # quotient << 20, and the remainder
     return (np.concatenate(words[::-1]) if words else np.empty(0, np.uint32)), x
 
 

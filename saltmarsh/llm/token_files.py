@@ -21,6 +21,8 @@ from .word_table import WordTable
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 FILE_CHARS = 8_000_000
+#: tokens a task reads, in whole files; rows about files that are stored together
+TASK_TOKENS, LIST_ROWS = 3_000_000, 10_000
 
 _libraries: dict[str, WordTable] = {}
 
@@ -39,8 +41,9 @@ def library(vocabulary: str) -> WordTable:
         letters = {b: c for c, b in byte_letters().items()}
         tokenize = t.model.tokenize
 
-        def encode(word: str) -> list[int]:
-            return [k.id for k in tokenize(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters))]
+        def encode(raw: bytes, ends: list[int]) -> list[list[int]]:
+            named = raw.decode("latin-1").translate(letters)
+            return [[k.id for k in tokenize(named[i:j])] for i, j in zip([0, *ends], ends)]
 
         _libraries[vocabulary] = WordTable(encode, special)
     return _libraries[vocabulary]
@@ -92,7 +95,9 @@ def write_tokens(docs: DataFrame, folder: str | None = None, vocabulary: str = V
                 write_file(f, np.concatenate(ids), doc_ids, sizes)
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "path": [path], "docs": pa.array([len(sizes)], pa.int64()), "tokens": pa.array([sum(sizes)], pa.int64())})
 
-    return stored(dealt.mapInArrow(run, "part long, path string, docs long, tokens long"), "token-files")
+    # one row per file: a table of as many files as the tokens have would cost more than the rows
+    listed = dealt.mapInArrow(run, "part long, path string, docs long, tokens long").repartition(math.ceil(n / LIST_ROWS))
+    return stored(listed, "token-files")
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
@@ -101,7 +106,8 @@ def read_tokens(files: DataFrame) -> DataFrame:
     # one row per file
     before = F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     placed = files.withColumn("before", F.coalesce(before, F.lit(0)))
-    n = max(1, files.count())
+    n_files, tokens = files.agg(F.count("*"), F.sum("tokens")).first()
+    n = max(1, min(n_files, math.ceil((tokens or 0) / TASK_TOKENS)))
 
     def run(batches):
         for batch in batches:

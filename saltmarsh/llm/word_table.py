@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -46,9 +47,12 @@ def parts_of(text: str, size: int = PART) -> Iterator[str]:
 
 
 class WordTable:
-    """Ids of words, by hash; the words used longest ago leave when there is no room."""
+    """Ids of words, by hash; the words used longest ago leave when there is no room.
 
-    def __init__(self, encode: Callable[[str], list[int]], special: dict[str, int], room: int = ROOM):
+    ``encode`` takes the UTF-8 bytes of many words in a row and where each ends, and returns the ids of each.
+    """
+
+    def __init__(self, encode: Callable[[bytes, list[int]], list[list[int]]], special: dict[str, int], room: int = ROOM):
         self.encode, self.special, self.room = encode, special, room
         self.h = np.empty(0, np.uint64)
         self.h2 = np.empty(0, np.uint64)
@@ -76,7 +80,12 @@ class WordTable:
     def _find(self, code, start, end) -> tuple[np.ndarray, np.ndarray]:
         """Per word where its ids begin in ``self.ids``, and how many there are."""
         h, h2 = self._hashes(code, start, end)
-        keys, first, where = np.unique(h, return_index=True, return_inverse=True)
+        order = np.argsort(h)
+        sorted_h = h[order]
+        begins = np.concatenate([np.ones(min(1, len(h)), bool), sorted_h[1:] != sorted_h[:-1]])
+        keys, first = sorted_h[begins], order[begins]
+        where = np.empty(len(h), np.int64)
+        where[order] = np.cumsum(begins) - 1
         if (h2[first][where] != h2).any():
             raise ValueError("two words share a hash")
         self.turn += 1
@@ -85,10 +94,13 @@ class WordTable:
         self.used[place[known]] = self.turn
         new = np.flatnonzero(~known)
         if len(new):
-            words = [code[i:j].tobytes().decode("utf-32-le", "surrogatepass") for i, j in zip(start[first[new]].tolist(), end[first[new]].tolist())]
-            got = [self.encode(w) for w in words]
-            sizes = np.array(list(map(len, got)), np.int64)
-            self._keep(keys[new], h2[first[new]], sizes, np.array([i for g in got for i in g], np.uint32))
+            begin, length = start[first[new]], (end - start)[first[new]]
+            some = code[expand(begin, length)]
+            raw = some.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            width = 1 + (some >= 0x80).astype(np.int64) + (some >= 0x800) + (some >= 0x10000)
+            got = self.encode(raw, np.cumsum(width)[np.cumsum(length) - 1].tolist())
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            self._keep(keys[new], h2[first[new]], sizes, np.fromiter(chain.from_iterable(got), np.uint32, int(sizes.sum())))
             place = np.searchsorted(self.h, keys)
             if (self.h[place] != keys).any() or (self.h2[place] != h2[first]).any():
                 raise ValueError("two words share a hash")

@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
@@ -45,6 +46,23 @@ def test_every_code_point_has_the_class_of_the_librarys_splitter():
             assert [c for k, c in enumerate(some) if (3 * k + 1 not in starts) != (kinds[c] == kind)] == []
 
 
+def test_classes_are_asked_for_when_met(monkeypatch):
+    monkeypatch.setattr(bpe, "_classes", np.append(np.full(0x110000, bpe.OTHER, np.uint8), np.uint8(bpe.APART)))
+    monkeypatch.setattr(bpe, "_asked", np.arange((0x110000 >> bpe.RANGE_BITS) + 1) == 0x110000 >> bpe.RANGE_BITS)
+    assert bpe.words_of("It's 日本 x２") == ["It", "'s", " 日本", " x", "２"]
+    # the last range is that of the mark
+    assert np.flatnonzero(bpe._asked).tolist() == [0, 0x65E5 >> 12, 0xFF12 >> 12, 0x110000 >> 12]
+
+
+def test_word_table_hands_over_new_words_together(library):
+    calls = []
+    t = token_files.library("byte_bpe_50k.json")
+    small = word_table.WordTable(lambda raw, ends: calls.append(len(ends)) or t.encode(raw, ends), t.special)
+    text = "one two three 日本 😀 é two one"
+    assert small.encode_texts([text])[0].tolist() == ids_of(library, text)
+    assert calls == [7]
+
+
 def thue_morse(n, letters):
     return "".join(letters[bin(i).count("1") % 2] for i in range(n))
 
@@ -122,6 +140,22 @@ def test_coder_round_trip(n):
         rans.Reader(io.BytesIO(f.getvalue()[:-1]))
 
 
+def test_coder_takes_ids_too_large_for_an_array_of_places():
+    ids = np.array([7, rans.DENSE - 1, rans.DENSE, 2**32 - 1, 7], np.uint32)
+    for some in (ids, ids[:2]):
+        f = io.BytesIO()
+        rans.write_file(f, some, [1], [len(some)])
+        assert rans.Reader(f).block(0).tolist() == some.tolist()
+
+
+def test_small_token_files_are_listed_together_and_read_by_few_tasks(spark):
+    docs = spark.createDataFrame([(i, "some words " * 5) for i in range(40)], "doc_id long, text string")
+    files = token_files.write_tokens(docs, file_chars=300)
+    assert files.count() > 5 and len(files.inputFiles()) == 1
+    got = token_files.read_tokens(files).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.doc_id for r in got) == list(range(40)) and len({r.task for r in got}) == 1
+
+
 def test_scaled_tables_add_up():
     for counts in ([1], [1] * 60000, [10**9, 1, 1], list(range(1, 3000))):
         t = rans.scaled_table(np.array(counts))
