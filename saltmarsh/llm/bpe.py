@@ -19,7 +19,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 #: fixed values: endings cut off behind an apostrophe
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 SPACE, LETTER, NUMBER, OTHER, APART = range(5)
-KNOWN_WORDS, KNOWN_PAIRS = 300_000, 1_000_000
+KNOWN_WORDS, KNOWN_PAIRS = 100_000, 300_000
 
 #: code points whose classes are asked for together, as a power of two
 RANGE_BITS = 12

@@ -2,7 +2,10 @@
 
 import hashlib
 import io
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -54,6 +57,26 @@ def test_classes_are_asked_for_when_met(monkeypatch):
     assert np.flatnonzero(bpe._asked).tolist() == [0, 0x65E5 >> 12, 0xFF12 >> 12, 0x110000 >> 12]
 
 
+def test_a_worker_stays_small_while_it_encodes():
+    code = """
+import random, resource
+import numpy as np
+import public_tokenizers
+from saltmarsh.llm import bpe, text
+v, known = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+r = random.Random(3)
+for _ in range(60):
+    some = " ".join("".join(r.choices("abcdefghij", k=8)) for _ in range(5000))
+    bpe.encode(some, v.special, known)
+    text.word_hashes(some.encode())
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 110  # MB
+
+
 def test_word_table_hands_over_new_words_together(library):
     calls = []
     t = token_files.library("byte_bpe_50k.json")
