@@ -463,3 +463,51 @@ def test_texts_hashed_together_have_the_keys_of_each_alone(monkeypatch):
     monkeypatch.setattr(text, "_known", type("Known", (), {"__getitem__": lambda _, word: known.append(word) or 0})())
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two three " * 30, "four five " * 40])], ["doc_id", "text"])
     assert {d for out in passages._keys(46)([batch]) for d in out.column("doc").to_pylist()} == {1, 2} and not known
+
+
+def test_closer_neighbours_on_both_sides_hide_no_near_passage(spark):
+    """At each key of a changed passage many smaller documents have more words in common with either text, on either side."""
+    rng = np.random.default_rng(53)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    texts, wanted = [], set()
+    for k in range(4):
+        p = new(70)
+        q = [*p[:35], *new(1), *p[36:]]
+        x, y = new(60) + p + new(60), new(70) + q + new(50)
+        one, other = (passages.Text(" ".join(t).encode(), 46) for t in (x, y))
+        keys = [(f, key) for f in range(passages.HASHES) for key in np.intersect1d(one.keys[f], other.keys[f])]
+        if len({f for f, _ in keys}) < passages.AGREE:
+            continue
+        for f, key in keys:
+            for t, text in ((x, one), (y, other)):
+                at = int(np.flatnonzero(text.h[f] == key)[0])
+                texts += [new(60) + t[a:a + 34] + new(60) for a in (at, at - 29) for _ in range(12)]
+        wanted.add((1_000_000 + k, 2_000_000 + k))
+        texts += [(1_000_000 + k, x), (2_000_000 + k, y)]
+    rows = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+    found = passages.repeated_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")).collect()
+    assert wanted and {(r.doc_id, r.partner_id) for r in found if r.doc_id < r.partner_id} == wanted
+
+
+def test_every_text_of_a_repeated_id_is_looked_at(spark):
+    rng = np.random.default_rng(59)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    p, q, whole = new(60), new(60), new(80)
+    rows = [(1, new(30) + p + new(30)), (2, new(30) + p + new(30)), (2, new(30) + q + new(30)), (3, new(30) + q + new(30)),
+            (4, whole), (5, whole), (5, new(30) + q + new(30))]
+    found = passages.repeated_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")).collect()
+    assert {(1, 2), (2, 3), (2, 5), (4, 5)} <= {(r.doc_id, r.partner_id) for r in found if r.doc_id < r.partner_id}
+
+
+def test_places_that_links_connect_are_apart_from_others_only():
+    rng = np.random.default_rng(61)
+    common = rng.integers(0, 2**16, 100, np.uint16)
+    words = np.tile(common, (6, 1))
+    words[3:, :30] = rng.integers(0, 2**16, (3, 30), np.uint16)
+    words[5] = rng.integers(0, 2**16, 100, np.uint16)
+    behind, before = words[:, 50:], words[:, 49::-1]
+    links = np.zeros((2, 50), np.uint16)
+    key, doc, other = np.full(8, 7), np.array([0, 1, 2, 3, 4, 5, 0, 1]), np.array([0] * 6 + [1, 2])
+    is_open = np.array([0, 0, 0, 1, 0, 1, -1, -1])
+    met = {p for a, b in passages._apart(key, doc, other, is_open, np.concatenate([behind, links]), np.concatenate([before, links])) for p in zip(a.tolist(), b.tolist())}
+    assert met == {(0, 3), (1, 3), (2, 3), (3, 4)}
