@@ -33,6 +33,8 @@ GROUP_BYTES = 16 << 20
 #: candidates measured at once, and rows of a rough score
 EXACT_PAIRS, ROUGH_ROWS = 1 << 16, 256
 SLACK = 1e-9
+#: rows of a piece from which sums of whole numbers are worth their calls, and the largest such sum
+WHOLE_ROWS, LARGEST = 256, 32767
 
 
 def as_vector(column: Column) -> Column:
@@ -114,33 +116,156 @@ def _ball(data: np.ndarray, metric: str) -> tuple[np.ndarray, float]:
     return center, float(_distances(data, center, metric).max())
 
 
+class _Best:
+    """The k nearest so far of ``n`` rows, ties by id."""
+
+    def __init__(self, n: int, k: int):
+        self.n, self.k, self.kth = n, k, np.full(n, np.inf)
+        self.found, self.waiting = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)), []
+
+    def add(self, row: np.ndarray, vid: np.ndarray, dist: np.ndarray) -> None:
+        self.waiting.append((row, vid, dist))
+        if 2 * sum(len(w[0]) for w in self.waiting) >= self.n * self.k:
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.waiting:
+            row, vid, dist = (np.concatenate(c) for c in zip(self.found, *self.waiting))
+            order = np.lexsort((vid, dist, row))
+            row, vid, dist = row[order], vid[order], dist[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            last = rank == self.k - 1
+            self.kth[row[last]] = dist[last]
+            self.found, self.waiting = tuple(c[rank < self.k] for c in (row, vid, dist)), []
+        return self.found
+
+
+def _lowest(q: np.ndarray, ball: tuple, metric: str) -> np.ndarray:
+    """Per row of ``q`` what no row of the ball can come below."""
+    center, radius = ball
+    return _distances(q, center, metric) * (1 - SLACK) - radius * (1 + SLACK)
+
+
+def _look(best: _Best, rows: np.ndarray, q: np.ndarray, piece: tuple, metric: str) -> None:
+    """Add the candidates of the given rows of ``q`` in the piece."""
+    ids, data, (center, _) = piece
+    i, j = _candidates(q[rows], data, center, best.kth[rows], best.k, metric)
+    best.add(rows[i], ids[j], _measured(q, data, rows[i], j, metric))
+
+
 def _nearest(q: np.ndarray, pieces: Sequence[tuple], k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of ``q``, id, exact distance) of the k nearest rows of all pieces ``(ids, vectors, ball)``, ties by id."""
-    away = np.stack([_distances(q, center, metric) for _, _, (center, _) in pieces])
-    low = away * (1 - SLACK) - np.array([r for _, _, (_, r) in pieces])[:, None] * (1 + SLACK)
-    kth = np.full(len(q), np.inf)
-    found, waiting = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)), []
-
-    def settle():
-        row, vid, dist = (np.concatenate(c) for c in zip(found, *waiting))
-        order = np.lexsort((vid, dist, row))
-        row, vid, dist = row[order], vid[order], dist[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        last = rank == k - 1
-        kth[row[last]] = dist[last]
-        return tuple(c[rank < k] for c in (row, vid, dist))
-
+    low = np.stack([_lowest(q, ball, metric) for _, _, ball in pieces])
+    best = _Best(len(q), k)
     for p in np.argsort(low.min(axis=1)):
-        open_rows = np.flatnonzero(~(low[p] > kth))
-        if not len(open_rows):
-            continue
-        ids, data, (center, _) = pieces[p]
-        with np.errstate(over="ignore", invalid="ignore"):
-            i, j = _candidates(q[open_rows], data, center, kth[open_rows], k, metric)
-            waiting.append((open_rows[i], ids[j], _measured(q, data, open_rows[i], j, metric)))
-        if 2 * sum(len(w[0]) for w in waiting) >= len(q) * k:
-            found, waiting = settle(), []
-    return settle() if waiting else found
+        open_rows = np.flatnonzero(~(low[p] > best.kth))
+        if len(open_rows):
+            with np.errstate(over="ignore", invalid="ignore"):
+                _look(best, open_rows, q, pieces[p], metric)
+    return best.settle()
+
+
+def _steps(parts: Sequence[np.ndarray]) -> tuple[np.ndarray, float] | None:
+    """Origin and width of the steps in which vectors are whole numbers whose sums stay below ``LARGEST``; none if they
+    would be coarse or there are vectors that can't be counted. Outliers are cut off, which ``_coded`` tells."""
+    dim = parts[0].shape[1]
+    if not dim or dim > LARGEST // 256 or not all(np.isfinite(p).all() for p in parts):
+        return None
+    low, high = np.min([p.min(axis=0) for p in parts], axis=0), np.max([p.max(axis=0) for p in parts], axis=0)
+    center = np.mean([p.mean(axis=0) for p in parts], axis=0)
+    spread = np.max([np.abs(p - center).mean(axis=0) for p in parts])
+    width = float(min((high - low).max(), 16 * spread))
+    step = width / (LARGEST // dim)
+    if not np.isfinite(width) or not step > 1e-300:
+        return None
+    return np.where(high - low <= width, low, center - width / 2), step
+
+
+def _coded(data: np.ndarray, origin: np.ndarray, step: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors in whole steps, a row per dimension; half their sums, and half the steps lost by rounding and cutting off."""
+    whole = np.clip(np.rint((data - origin) / step), 0, LARGEST // data.shape[1])
+    digits = (np.abs(data).sum(axis=1) + np.abs(origin).sum()) * 1e-15 * (data.shape[1] + 8)
+    lost = np.abs(data - (origin + step * whole)).sum(axis=1) + digits
+    return np.ascontiguousarray(whole.T, dtype=np.uint16), whole.sum(axis=1) / 2, lost / step / 2
+
+
+def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum over the dimensions of the larger of ``a[:, i]`` and ``b[:, (i + s) % n]``, by s and i: all rows of the
+    one beside as many of the other, turned by one each time, so that no step has less than a row of numbers."""
+    n, rows = b.shape[1], a.shape[1]
+    turned = np.concatenate([b, b[:, :rows]], axis=1)
+    out, larger = np.empty((n, rows), np.uint16), np.empty(a.shape, np.uint16)
+    for s in range(n):
+        np.maximum(a, turned[:, s:s + rows], out=larger)
+        np.add.reduce(larger, axis=0, dtype=np.uint16, out=out[s])
+    return out
+
+
+def _close(a: tuple, b: tuple, far_a: np.ndarray, far_b: np.ndarray | None, step: float, k: int) -> tuple:
+    """Positions (row of ``a``, row of ``b``) that may be among the k nearest of the first, and of the second unless it
+    has no distances; ``a`` and ``b`` as ``_coded``, ``a`` with no more rows. ``far`` are the k-th distances so far.
+
+    Half the distance in steps is the sum of the larger numbers less half of all numbers.
+    """
+    (table, half_a, lost_a), (other, half_b, lost_b) = a, b
+    sums, n, rows = _sums(table, other), len(half_b), len(half_a)
+    turned = lambda x: np.lib.stride_tricks.sliding_window_view(np.concatenate([x, x[:rows]]), rows)[:n]
+    short = lambda x: np.clip(np.floor(x) + 1, 0, LARGEST).astype(np.uint16)
+    new = np.flatnonzero(far_a == np.inf)
+    if len(new) and n >= k:
+        score = sums[:, new] - turned((half_b - lost_b).astype(np.float32))[:, new]
+        far_a = far_a.copy()
+        far_a[new] = 2 * step * (np.partition(score, k - 1, axis=0)[k - 1] - (half_a - lost_a)[new] + 1)
+    edge = short(half_a + lost_a + far_a * (1 + SLACK) / (2 * step)) + turned(short(half_b + lost_b))
+    s, i = _at(sums <= edge)
+    found = i, (i + s) % n
+    if far_b is None:
+        return found, None
+    new = np.flatnonzero(far_b == np.inf)
+    if len(new) and rows >= k:
+        every = np.arange(rows)
+        score = sums[(new[:, None] - every) % n, every] - (half_a - lost_a).astype(np.float32)
+        far_b = far_b.copy()
+        far_b[new] = 2 * step * (np.partition(score, k - 1, axis=1)[:, k - 1] - (half_b - lost_b)[new] + 1)
+    edge = turned(short(half_b + lost_b + far_b * (1 + SLACK) / (2 * step))) + short(half_a + lost_a)
+    s, i = _at(sums <= edge)
+    return found, (i, (i + s) % n)
+
+
+def _nearest_of_each(left: list[tuple], right: list[tuple], k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(id of the row, id, exact Manhattan distance) of the k nearest of every row of ``left`` in ``right`` and of every
+    row of ``right`` in ``left``, or of every row of ``left`` in ``left`` if there is no ``right``.
+
+    A pair of rows is looked at once for both.
+    """
+    metric, pieces, m = "manhattan", [*left, *right], len(left)
+    best = [_Best(len(ids), k) for ids, _, _ in pieces]
+    scale = _steps([data for _, data, _ in pieces])
+    coded = [_coded(data, *scale) for _, data, _ in pieces] if scale else None
+    meet = [(x, y) for x in range(m) for y in (range(m, len(pieces)) if right else range(x, m))]
+    low = {(x, y): _lowest(pieces[x][1], pieces[y][2], metric) for a, b in meet for x, y in ((a, b), (b, a))}
+    least = {(x, y): min(low[x, y].min(), low[y, x].min()) for x, y in meet}
+    with np.errstate(over="ignore", invalid="ignore"):
+        for x, y in sorted(meet, key=least.__getitem__):
+            if len(pieces[x][0]) > len(pieces[y][0]):
+                x, y = y, x
+            (ids_x, vec_x, _), (ids_y, vec_y, _) = pieces[x], pieces[y]
+            open_x, open_y = (np.flatnonzero(~(low[p] > best[p[0]].kth)) for p in ((x, y), (y, x)))
+            if x == y:
+                open_y = open_y[:0]
+            if coded and len(ids_x) >= WHOLE_ROWS and 2 * (len(open_x) * len(ids_y) + len(open_y) * len(ids_x)) >= len(ids_x) * len(ids_y):
+                one, two = _close(coded[x], coded[y], best[x].kth, None if x == y else best[y].kth, scale[1], k)
+                best[x].add(one[0], ids_y[one[1]], _measured(vec_x, vec_y, *one, metric))
+                if two:
+                    best[y].add(two[1], ids_x[two[0]], _measured(vec_y, vec_x, *two[::-1], metric))
+                continue
+            if len(open_x):
+                _look(best[x], open_x, vec_x, pieces[y], metric)
+            if len(open_y):
+                _look(best[y], open_y, vec_y, pieces[x], metric)
+    for (ids, _, _), b in zip(pieces, best):
+        row, vid, dist = b.settle()
+        yield ids[row], vid, dist
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -226,10 +351,14 @@ def _unpacked(pdf: pd.DataFrame, side: int, *more: str) -> list[tuple]:
     return out
 
 
-def _grid_search(queries: DataFrame, n_queries: int, data: DataFrame, n_data: int, dim: int, k: int, metric: str) -> DataFrame:
+def _pivots(data: DataFrame, n_data: int) -> np.ndarray:
     n_pivots = int(min(1024, max(8, n_data**0.5 / 4)))
     rows = data.select("vec").orderBy(F.xxhash64("vid"), "vid").limit(n_pivots).toArrow()
-    pivots = np.asarray(rows.column("vec").combine_chunks().flatten()).reshape(rows.num_rows, -1)
+    return np.asarray(rows.column("vec").combine_chunks().flatten()).reshape(rows.num_rows, -1)
+
+
+def _grid_search(queries: DataFrame, n_queries: int, data: DataFrame, n_data: int, dim: int, k: int, metric: str) -> DataFrame:
+    pivots = _pivots(data, n_data)
     slots = data.sparkSession.sparkContext.defaultParallelism
     n_a, n_b = _grid(n_queries, dim, QUERY_ROWS, slots), _grid(n_data, dim, CHUNK_ROWS, slots)
 
@@ -246,6 +375,25 @@ def _grid_search(queries: DataFrame, n_queries: int, data: DataFrame, n_data: in
     return met.groupBy("a", "b").applyInPandas(search, "qid long, vid long, distance double")
 
 
+def _self_search(data: DataFrame, n_data: int, dim: int, k: int) -> DataFrame:
+    """As ``_grid_search`` of the data in itself by Manhattan distance; two groups meet once, for the rows of both."""
+    metric, slots = "manhattan", data.sparkSession.sparkContext.defaultParallelism
+    n = _grid(n_data, dim, CHUNK_ROWS, 2 * slots)
+    packed = durable(_pieces(data, "vid", _pivots(data, n_data), metric, CHUNK_ROWS, n))
+    a = packed.withColumnRenamed("grp", "a").withColumn("b", F.explode(F.sequence("a", F.lit(n - 1)))).withColumn("side", F.lit(0))
+    b = packed.withColumnRenamed("grp", "b").where("b > 0").withColumn("a", F.explode(F.sequence(F.lit(0), F.col("b") - 1))).withColumn("side", F.lit(1))
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = ([(ids, rows, _ball(rows, metric)) for ids, rows in _unpacked(pdf, side)] for side in (0, 1))
+        out = [pd.DataFrame({"qid": np.empty(0, np.int64), "vid": np.empty(0, np.int64), "distance": np.empty(0)})]
+        if left and (right or pdf["a"].iloc[0] == pdf["b"].iloc[0]):
+            out += [pd.DataFrame({"qid": qid, "vid": vid, "distance": dist}) for qid, vid, dist in _nearest_of_each(left, right, k)]
+        return pd.concat(out)
+
+    met = a.unionByName(b).repartition(n * (n + 1) // 2, "a", "b")
+    return met.groupBy("a", "b").applyInPandas(search, "qid long, vid long, distance double")
+
+
 def knn_join(
     queries: DataFrame, data: DataFrame, k: int, *, query_key: str, data_key: str, vector: str,
     metric: str = "euclidean", broadcast_bytes: int | None = None,
@@ -264,9 +412,11 @@ def knn_join(
     ds = data.where(F.col(vector).isNotNull()).select(F.col(data_key).cast("long").alias("id"), shape(F.col(vector)).alias("vec"))
     distinct_q = durable(qs.groupBy("vec").agg(F.min("id").alias("qid")))
     distinct_d = durable(_distinct_vectors(ds, "id", "vec", k))
-    size = distinct_d.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    size = distinct_d.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim"), F.count("vid").alias("named")).first()
     if size["n"] * (size["dim"] or 1) * 8 <= limit:
         found = _broadcast_search(distinct_q, distinct_d, k, metric)
+    elif metric == "manhattan" and queries is data and query_key == data_key and size["named"] == size["n"]:
+        found = _self_search(distinct_d, size["n"], size["dim"], k)  # qid is vid
     else:
         found = _grid_search(distinct_q, distinct_q.count(), distinct_d, size["n"], size["dim"], k, metric)
     # ``vid`` is the smallest id of its vector, so the k nearest ids are among those of the k first vectors

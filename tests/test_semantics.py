@@ -384,3 +384,36 @@ def test_purged_split_refuses_too_few_groups(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(6)], "t int, g int")
     with pytest.raises(ValueError):
         timeseries.purged_group_split(df, "g", ["t"], n_splits=5)
+
+
+def test_rows_of_a_table_joined_with_itself_meet_once(spark, monkeypatch):
+    """Pieces meet once for the rows of both, by sums of whole numbers; copies, an outlier and a vector far from zero included."""
+    rng = np.random.default_rng(71)
+    rows = np.round(rng.normal(size=(900, 12)), 3)
+    rows[300:310], rows[400], rows[500] = rows[0:10], 1e6, rows[1] + 1e-7
+    met = []
+    monkeypatch.setattr(knn, "_sums", lambda a, b, sums=knn._sums: met.append((a.shape[1], b.shape[1])) or sums(a, b))
+    cut = [slice(0, 256), slice(256, 600), slice(600, 900)]
+    pieces = [(np.arange(900)[c], rows[c], knn._ball(rows[c], "manhattan")) for c in cut]
+    want = np.abs(rows[:, None] - rows).sum(axis=2)
+    for left, right in ((pieces, []), (pieces[:2], pieces[2:]), (pieces[2:], pieces[:2])):
+        met.clear()
+        for ids, near, dist in knn._nearest_of_each(left, right, 4):
+            others = np.concatenate([i for i, _, _ in (right if right and ids[0] in np.concatenate([i for i, _, _ in left]) else left)])
+            for q in np.unique(ids):
+                order = others[np.lexsort((others, want[q, others]))[:4]]
+                assert near[ids == q].tolist() == order.tolist() and np.allclose(dist[ids == q], want[q, order])
+        assert len(met) == (2 if right else 6) and len(set(map(frozenset, met))) >= 2
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_a_manhattan_join_of_a_table_with_itself_in_a_grid(spark, odd):
+    rng = np.random.default_rng(73)
+    rows = np.round(rng.normal(size=(2500, 6)), 2)
+    if odd:  # not to be counted in steps
+        rows[7, 2] = np.inf
+    ids = np.arange(2500)
+    df = spark.createDataFrame([(int(i), r.tolist()) for i, r in zip(ids, rows)], "id long, v array<double>")
+    run = lambda other, limit: sorted((r.id, r.rank, r.neighbor, round(r.distance, 9)) for r in knn.knn_join(
+        df, other, 3, query_key="id", data_key="id", vector="v", metric="manhattan", broadcast_bytes=limit).where("id != 7").collect())
+    assert run(df, 0) == run(df.select("*"), 1 << 30)
